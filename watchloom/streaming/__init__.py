@@ -1,0 +1,5 @@
+"""No streaming operators: the workload this package covers is purely batch.
+
+The package exists so that a later incremental source has a home; nothing is
+registered here and nothing imports it.
+"""
