@@ -57,7 +57,7 @@ def _tree_grower(seed: int, sample: int, slots: int, width: int):
         digest = hashlib.md5(f"{seed}|{what}|{tree}|{node}".encode()).hexdigest()
         return int(digest[:13], 16) / 16.0 ** 13
 
-    def grow(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
         x = np.array(pdf["x"].tolist(), dtype=float).reshape(len(pdf), width)
         max_depth = math.ceil(math.log2(max(min(sample, len(pdf)), 2)))
