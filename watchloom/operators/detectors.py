@@ -24,8 +24,8 @@ DETECTORS = {
 def all_findings(t: SocTables, cfg: Settings = DEFAULTS, detectors=None) -> DataFrame:
     """Findings of all (or the named) detectors.
 
-    Volume detectors read one shared rollup of the alerts, whose shuffle Spark
-    plans once and reuses.
+    Volume detectors read one shared rollup of the alerts instead of scanning them
+    again; equal shuffles of the others are reused by Spark within the union.
     """
     shared = t.with_rollup()
     chosen = detectors or DETECTORS

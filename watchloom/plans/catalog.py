@@ -13,6 +13,7 @@ from watchloom.operators import (
 )
 from watchloom.operators.detectors import DETECTORS, all_findings
 from watchloom.operators.isolation_forest import analyst_features
+from watchloom.plans.assessment import assess
 from watchloom.plans.star import Star, star
 from watchloom.session import materialise, prepare_session, scratch_path
 from watchloom.sources import bundle, export
@@ -57,12 +58,8 @@ for _id in DETECTORS:
 
 
 def findings(s: Star) -> DataFrame:
-    return all_findings(s.tables())
-
-
-def landed_findings(s: Star) -> DataFrame:
-    """Findings written once, for queries that read them several times."""
-    return materialise(findings(s).select(*KEY, "effect_size", "confidence"), "findings")
+    """All findings, as the table an assessment writes."""
+    return assess(s.tables())
 
 
 def ranking(f: DataFrame) -> DataFrame:
@@ -74,7 +71,8 @@ def ranking(f: DataFrame) -> DataFrame:
 
 @query
 def all_findings_union(s: Star) -> DataFrame:
-    return findings(s).select(*KEY)
+    """The same findings as one lazy union, without an assessment run."""
+    return all_findings(s.tables()).select(*KEY)
 
 
 @query
@@ -139,7 +137,7 @@ def peer_outliers(s: Star) -> DataFrame:
 
 @query
 def weighted_draws(s: Star) -> DataFrame:
-    return sampling.weighted_draws(ranking(landed_findings(s)), 200).select("draw", "entity_id")
+    return sampling.weighted_draws(ranking(findings(s)), 200).select("draw", "entity_id")
 
 
 @query
@@ -149,19 +147,19 @@ def uniform_sample(s: Star) -> DataFrame:
 
 @query
 def review_sample(s: Star) -> DataFrame:
-    f = landed_findings(s)
+    f = findings(s)
     return sampling.review_sample(f, ranking(f), 10)
 
 
 @query
 def sample_composition(s: Star) -> DataFrame:
-    f = landed_findings(s)
+    f = findings(s)
     return sampling.sample_composition(sampling.review_sample(f, ranking(f), 50))
 
 
 @query
 def lift_over_random(s: Star) -> DataFrame:
-    f = landed_findings(s)
+    f = findings(s)
     return sampling.lift_over_random(f, ranking(f), s.truth().select("target_id"), 10, 50)
 
 
@@ -176,14 +174,14 @@ def recall_by_detector(s: Star) -> DataFrame:
 
 @query
 def kpi_summary(s: Star) -> DataFrame:
-    f = landed_findings(s)
+    f = findings(s)
     return reports.kpi_summary(s.tables().entities, f, ranking(f)).withColumn(
         "avg_attention_index", r6("avg_attention_index"))
 
 
 @query
 def portfolio_status(s: Star) -> DataFrame:
-    return reports.portfolio_status(ranking(landed_findings(s)))
+    return reports.portfolio_status(ranking(findings(s)))
 
 
 @query
@@ -485,7 +483,7 @@ def export_row_counts(s: Star) -> DataFrame:
 
 @query
 def export_review_queue(s: Star) -> DataFrame:
-    f, path = landed_findings(s), scratch_path(s.spark, "queue")
+    f, path = findings(s), scratch_path(s.spark, "queue")
     export.export_review_queue(sampling.review_sample(f, ranking(f), 10), path)
     return s.spark.read.option("header", True).csv(path)
 

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from watchloom import schemas
+from watchloom.session import materialise
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -69,12 +70,17 @@ class SocTables:
     rollup: DataFrame | None = None
 
     def with_rollup(self) -> SocTables:
+        """Count the alerts once; the counts are written to the shared folder.
+
+        The table has a row per entity, day, category and severity seen, however many
+        alerts there are.
+        """
         rollup = (
             self.alerts
             .groupBy("entity_id", F.to_date("created_ts").alias("day"), "category", "severity")
             .agg(F.count(F.lit(1)).alias("rows"), F.count("alert_id").alias("alerts"))
         )
-        return replace(self, rollup=rollup)
+        return replace(self, rollup=materialise(rollup, "alert-rollup"))
 
     def alert_counts(self, *keys: str) -> DataFrame:
         """(keys, rows, alerts): all alert rows and rows with an id, per key.
