@@ -83,10 +83,12 @@ def test_tampering(spark, tmp_path, case, broken):
 
 def test_append(spark, tmp_path):
     path = str(tmp_path / "log")
+    assert tuple(audit.verify_ledger(spark, path).first()) == (0, True, None)
     first = audit.append_event(spark, path, "ASSESSMENT_RUN", "Generated 3 findings.", "2024-01-01T00:00:00")
     second = audit.append_event(spark, path, "DATA_IMPORT", "naïve", "2024-01-01T00:00:01")
     assert first != second and check(spark, path) == (True, None)
     assert audit.read_ledger(spark, path).count() == 3
+    assert tuple(audit.verify_ledger(spark, path).first()) == (3, True, None)
 
 
 def test_build_segments(spark):

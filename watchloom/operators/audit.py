@@ -101,6 +101,20 @@ def verify_chain(blocks: DataFrame, keys: list[str] | None = None) -> DataFrame:
     )
 
 
+def verify_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """``verify_chain`` of the ledger at ``path``; a ledger not started yet is valid."""
+    if _exists(spark, path):
+        blocks = read_ledger(spark, path)
+    else:
+        blocks = spark.createDataFrame([], BLOCK).withColumn("computed", F.lit(None).cast("string"))
+    return verify_chain(blocks)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def build_chains(events: DataFrame, key: str, order: list[str], slot: Column, segment: int = 256) -> DataFrame:
     """Blocks for events with (timestamp, event_type, data), chained per key and segment.
 
@@ -143,9 +157,7 @@ def last_block(blocks: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 def append_event(spark: SparkSession, path: str, event_type: str, data: str, timestamp: str) -> str:
     """Append one event to the ledger at ``path`` (started with a genesis block if new); returns its hash."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    exists = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
-    newest = last_block(read_ledger(spark, path)).first() if exists else None
+    newest = last_block(read_ledger(spark, path)).first() if _exists(spark, path) else None
     blocks = []
     if newest is None:
         blocks.append({"index": 0, "timestamp": timestamp, "event_type": "CHAIN_INIT", "data": "Genesis Block",

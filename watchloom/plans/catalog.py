@@ -419,7 +419,7 @@ def upsert_entity(s: Star) -> DataFrame:
     """A store after one entity was submitted again with all its alerts re-opened."""
     path = scratch_path(s.spark, "store")
     alerts = s.tables().alerts.select("alert_id", "category", "severity", "created_ts", "status", "entity_id")
-    alerts.write.partitionBy("entity_id").parquet(path)
+    bundle.write_store(alerts, path)
     again = alerts.filter("entity_id = 'ENT-08'").withColumn("status", F.lit("Reopened"))
     bundle.upsert_entity(again, path, "ENT-08")
     return bundle.read_store(s.spark, path, schemas.ALERT).select("alert_id", "entity_id", "status")

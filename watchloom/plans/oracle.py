@@ -539,9 +539,9 @@ select 'events', count(*), count(*), 0, 0, 100.0 from soc_events""",
 
 # Queries that sample: name -> (budget, replicates, draws, select).
 SAMPLED: dict[str, tuple[dict[str, str], str]] = {
-    "weighted_draws": (_samples(250, draws=200), "select draw, entity_id from draws"),
+    "weighted_draws": (_samples(250, draws=200), "select draw::int draw, entity_id from draws"),
     "review_sample": (
-        _samples(10), "select draw, detector_id, entity_id, target_id, severity, selection_reason from sample"),
+        _samples(10), "select draw::int draw, detector_id, entity_id, target_id, severity, selection_reason from sample"),
     "sample_composition": (_samples(50), "select selection_reason, count(*) findings from sample group by 1"),
     "export_review_queue": (
         _samples(10),
