@@ -12,6 +12,7 @@ from watchloom.config import DEFAULTS, Settings
 from watchloom.functions.hashing import hash_bucket, uniform
 from watchloom.functions.scalars import one_row
 
+# Labels of the two parts of a sample.
 TARGETED = "Targeted (High Attention Index & Severity)"
 EXPLORATION = "Exploration (Random Baseline)"
 
