@@ -12,6 +12,7 @@ _ACCURACY = 10_000
 _MARGIN = 4.0 / _ACCURACY
 # Up to this many rows the margin is less than one rank, so all rows are kept.
 _SMALL = _ACCURACY // 4
+_SALTS = 16
 
 
 def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, out: str) -> DataFrame:
@@ -40,7 +41,10 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, out
         )
     )
     if keys:
-        near = rows.join(bracket, keys)
+        # Salted by value, so that a large group meets its bracket in several tasks.
+        salt = F.pmod(F.xxhash64("_v"), F.lit(_SALTS)).cast("int").alias("_salt")
+        salted = bracket.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        near = rows.select("*", salt).join(salted, [*keys, "_salt"])
     else:
         b = one_row(bracket)
         near = rows.select("_v", b["_n"].alias("_n"), b["_lo"].alias("_lo"), b["_hi"].alias("_hi"))

@@ -82,17 +82,30 @@ def ex_03(t: SocTables, cfg: Settings = DEFAULTS) -> DataFrame:
 
 
 def half_counts(alerts: DataFrame) -> DataFrame:
-    """(entity_id, alerts, h1, h2): alerts up to and after the middle of an entity's span."""
-    timed = alerts.select("entity_id", micros("created_ts").alias("at"))
-    span = timed.groupBy("entity_id").agg(
-        F.count(F.lit(1)).alias("alerts"), (F.min("at") + F.max("at")).alias("twice_mid")
-    )
-    early = (F.col("at") * 2 <= F.col("twice_mid")).cast("int")
-    late = (F.col("at") * 2 > F.col("twice_mid")).cast("int")
-    return (
-        timed.join(span, "entity_id")
-        .groupBy("entity_id", "alerts").agg(F.sum(early).alias("h1"), F.sum(late).alias("h2"))
-    )
+    """(entity_id, alerts, h1, h2): alerts up to and after the middle of an entity's span.
+
+    Alerts are counted per entity and hour first. An hour lies wholly in one half
+    unless the middle falls into it, so raw alerts are looked at again for one hour
+    per entity only, and a busy entity is spread over its hours throughout.
+    """
+    timed = alerts.select("entity_id", micros("created_ts").alias("at")).withColumn(
+        "hour", F.floor(F.col("at") / F.lit(_HOUR)).cast("long"))
+    hourly = timed.groupBy("entity_id", "hour").agg(
+        F.count(F.lit(1)).alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi"))
+    span = hourly.groupBy("entity_id").agg(
+        F.sum("n").alias("alerts"), (F.min("lo") + F.max("hi")).alias("twice_mid"))
+    placed = hourly.join(span, "entity_id")
+    early, late = F.col("hi") * 2 <= F.col("twice_mid"), F.col("lo") * 2 > F.col("twice_mid")
+    whole = placed.select(
+        "entity_id", "alerts", F.when(early, F.col("n")).otherwise(0).alias("h1"),
+        F.when(late, F.col("n")).otherwise(0).alias("h2"))
+    middle = placed.filter(~early & ~late).select("entity_id", "hour", "twice_mid")
+    cut = timed.join(middle, ["entity_id", "hour"]).select(
+        "entity_id", F.lit(None).cast("long").alias("alerts"),
+        (F.col("at") * 2 <= F.col("twice_mid")).cast("long").alias("h1"),
+        (F.col("at") * 2 > F.col("twice_mid")).cast("long").alias("h2"))
+    return whole.unionByName(cut).groupBy("entity_id").agg(
+        F.max("alerts").alias("alerts"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
 
 
 def ex_04(t: SocTables, cfg: Settings = DEFAULTS) -> DataFrame:

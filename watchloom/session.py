@@ -8,15 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Runtime settings the operators rely on. A skewed join is split even where the
+# aggregate behind it could have reused the join's partitioning.
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
 def build_session(app: str = "watchloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution, skew handling and UTC timestamps."""
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-    )
+    builder = SparkSession.builder.appName(app)
+    for key, value in RUNTIME.items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -25,8 +32,9 @@ def build_session(app: str = "watchloom", master: str | None = None, **conf: str
 
 
 def prepare_session(spark: SparkSession) -> None:
-    """Settings the operators rely on; safe to call on any session."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """The same settings on a session built elsewhere."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
 
 
 def scratch_root(spark: SparkSession) -> str:
