@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from watchloom.operators.detectors import DETECTORS
 from watchloom.operators.evaluation import recall_by_detector
+from watchloom.plans import catalog, oracle
 from watchloom.plans.assessment import assess
 from watchloom.plans.star import star
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), oracle.oracle_sql()
 
 # Checked by row count only: file names and hashes of written files are not fixed.
 ROWS_ONLY = {"export_manifest"}
