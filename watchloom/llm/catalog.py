@@ -6,16 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from watchloom.llm import decontamination, packing, simhash, toxicity
+from watchloom.llm import decontamination, packing, passages, pii, simhash, toxicity
 from watchloom.llm.common import table
 from watchloom.session import prepare_session
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare_session(spark)
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare_session(spark)
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare_session(spark)
+    return passages.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare_session(spark)
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -32,7 +42,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash, op8_toxicity, op9_decontamination, op10_packing)}
+    return {f.__name__: f for f in (op2_pii, op3_simhash, op7_suffix_array, op8_toxicity, op9_decontamination, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
