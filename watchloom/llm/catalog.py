@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from watchloom.llm import decontamination, packing, passages, pii, simhash, toxicity
+from watchloom.llm import decontamination, language_model, packing, passages, pii, simhash, topk, toxicity, url_rules
 from watchloom.llm.common import table
 from watchloom.session import prepare_session
 
@@ -21,6 +22,21 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare_session(spark)
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare_session(spark)
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare_session(spark)
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare_session(spark)
     return passages.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
@@ -41,9 +57,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+OPERATORS = (
+    op2_pii, op3_simhash, op4_topk, op5_language_model, op6_url_rules, op7_suffix_array, op8_toxicity, op9_decontamination, op10_packing,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pii, op3_simhash, op7_suffix_array, op8_toxicity, op9_decontamination, op10_packing)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_topk": OP4_SQL}
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS p FROM embeddings
+  WHERE embedding IS NOT NULL AND NOT list_contains([x IS NULL OR NOT isfinite(x) FOR x IN embedding], true)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([z[1] * z[2] FOR z IN list_zip(q.p, c.p)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.p) = len(c.p)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
