@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchloom.llm import decontamination, language_model, packing, passages, pii, simhash, topk, toxicity, url_rules
+from watchloom.llm import decontamination, html_text, language_model, packing, passages, pii, simhash, topk, toxicity, url_rules
 from watchloom.llm.common import table
 from watchloom.session import prepare_session
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare_session(spark)
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.learn(pages))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare_session(spark)
     return pii.find(table(spark, sf_dir, "documents"))
@@ -58,7 +64,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OPERATORS = (
-    op2_pii, op3_simhash, op4_topk, op5_language_model, op6_url_rules, op7_suffix_array, op8_toxicity, op9_decontamination, op10_packing,
+    op1_html_text, op2_pii, op3_simhash, op4_topk, op5_language_model, op6_url_rules, op7_suffix_array, op8_toxicity, op9_decontamination,
+    op10_packing,
 )
 
 
