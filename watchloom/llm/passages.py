@@ -7,12 +7,13 @@ document with a smaller doc_id. Three steps keep the sorted text small and exact
    least hash among the 27 in it; equal strings have equal anchors at equal places.
    Blocks of documents exchange short anchor hashes (four bytes each), and keep the
    anchors that a second document has.
-2. Shards. The up to 76 bytes around a kept anchor hold every string it stands for.
-   Equal surroundings are one row with their smallest doc_id. Rows of one anchor
-   share a shard, whose text is sorted by external induced sorting
-   (``suffix_array``); neighbours that share LENGTH bytes form a class with its
-   smallest doc_id.
-3. Spans. Strings of a class with a smaller doc_id are removed where they occur.
+2. Surroundings. The up to 76 bytes around a kept anchor hold every string it stands
+   for. Blocks exchange a hash of each with their smallest doc_id: where a smaller
+   document has the same surroundings, all strings in them are removed. What is left
+   is one owner for each of different surroundings of one anchor.
+3. Shards. Those that share an anchor share a shard, whose text is sorted by external
+   induced sorting (``suffix_array``); neighbours that share LENGTH bytes form a class,
+   and its strings are removed where a smaller doc_id is in the class.
 
 Whole copies are found by their digest; only one copy per block gives anchors.
 """
@@ -136,34 +137,144 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
     return offered.groupBy("bucket").applyInArrow(meet, "block int, bucket int, hashes binary").filter("octet_length(hashes) > 0")
 
 
-def surroundings(rows: DataFrame, shared: DataFrame, buckets: int, shards: int) -> DataFrame:
-    """(doc_id, digest, at, shard, around): the bytes around every shared anchor; ``at`` is their place in the text."""
+def _occurrences(docs: pa.Table, keys: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes, np.ndarray, np.ndarray, np.ndarray, list[int]]]:
+    """Of one copy of each text of a block: (doc_id, digest, text, places, hashes, start of the surroundings, their hash) of its anchors in ``keys``."""
+    ids, texts = docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()
+    for digest, k in _first_copies(ids, texts).items():
+        text = texts[k]
+        at, h = anchors(text)
+        key = _key(h, buckets)
+        mine = keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
+        at, h = at[mine], h[mine]
+        low = np.maximum(0, at - (WINDOW - 1))
+        around = [xxhash.xxh3_64_intdigest(text[a: p + LENGTH], p - a) for a, p in zip(low.tolist(), at.tolist())]
+        yield ids[k], digest, text, at, h, low, around
+
+
+def _key(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (h >> np.uint64(32)) * np.uint64(buckets) + h % np.uint64(buckets)
+
+
+def _unpacked(known: pa.Table, buckets: int) -> np.ndarray:
+    lists = [np.frombuffer(x, dtype="<u4") for x in known.column("hashes").to_pylist()]
+    return np.sort(np.concatenate([h.astype(np.uint64) * np.uint64(buckets) + np.uint64(b) for h, b in zip(lists, known.column("bucket").to_pylist())]))
+
+
+#: What a block is told about surroundings of its own: a smaller document outside has the same; the anchor has others too.
+_OUTSIDE, _OTHERS = 1, 2
+_ENTRY = np.dtype([("anchor", "<u4"), ("around", "<u8"), ("doc", "<i8")])
+_ANSWER = np.dtype([("around", "<u8"), ("says", "u1")])
 
-    def cut(docs: pa.Table, known: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        if docs.num_rows and known.num_rows:
-            lists = [np.frombuffer(x, dtype="<u4") for x in known.column("hashes").to_pylist()]
-            keys = np.sort(np.concatenate([
-                h.astype(np.uint64) * np.uint64(buckets) + np.uint64(b) for h, b in zip(lists, known.column("bucket").to_pylist())]))
-            ids, texts = docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()
-            for digest, k in _first_copies(ids, texts).items():
-                text = texts[k]
-                at, h = anchors(text)
-                key = (h >> np.uint64(32)) * np.uint64(buckets) + h % np.uint64(buckets)
-                mine = keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
-                for p, shard in zip(at[mine].tolist(), (h[mine] % np.uint64(shards)).tolist()):
-                    low = max(0, p - (WINDOW - 1))
-                    out.append((ids[k], digest, low, shard, text[low: p + LENGTH]))
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary())
-        columns = list(zip(*out)) or [()] * 5
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=["doc_id", "digest", "at", "shard", "around"])
 
-    return rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
-        cut, "doc_id long, digest binary, at long, shard int, around binary")
+def decided(rows: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
+    """(block, bucket, says): per block what is known of the surroundings of its shared anchors, as packed (hash, flags).
 
+    Blocks send each different surroundings once, as a hash with their smallest doc_id.
+    """
+
+    def tell(docs: pa.Table, known: pa.Table) -> pa.Table:
+        names = ["block", "bucket", "entries"]
+        if not docs.num_rows or not known.num_rows:
+            return pa.table([pa.array([], pa.int32()), pa.array([], pa.int32()), pa.array([], pa.binary())], names=names)
+        found = []
+        for doc, _, _, _, h, _, around in _occurrences(docs, _unpacked(known, buckets), buckets):
+            found.append((h, np.array(around, dtype=np.uint64), np.full(len(h), doc, dtype=np.int64)))
+        h, around, doc = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((doc, around, h))
+        h, around, doc = h[order], around[order], doc[order]
+        fresh = np.append(True, (h[1:] != h[:-1]) | (around[1:] != around[:-1])) if len(h) else np.zeros(0, bool)
+        h, around, doc = h[fresh], around[fresh], doc[fresh]
+        entries = np.zeros(len(h), dtype=_ENTRY)
+        entries["anchor"], entries["around"], entries["doc"] = h >> np.uint64(32), around, doc
+        bucket = (h % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        k = [j for j in range(buckets) if cuts[j + 1] > cuts[j]]
+        block = docs.column("block")[0].as_py()
+        return pa.table([
+            pa.array([block] * len(k), pa.int32()), pa.array(k, pa.int32()), pa.array([entries[order[cuts[j]: cuts[j + 1]]].tobytes() for j in k], pa.binary())], names=names)
+
+    def meet(group: pa.Table) -> pa.Table:
+        lists = [np.frombuffer(x, dtype=_ENTRY) for x in group.column("entries").to_pylist()]
+        every = np.concatenate(lists)
+        source = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        order = np.lexsort((every["doc"], every["around"], every["anchor"]))
+        anchor, around, doc = (every[c][order] for c in ("anchor", "around", "doc"))
+        new_anchor = np.append(True, anchor[1:] != anchor[:-1])
+        new_around = np.append(True, new_anchor[1:] | (around[1:] != around[:-1]))
+        first = np.flatnonzero(new_around)
+        least = np.repeat(doc[first], np.diff(np.append(first, len(doc))))
+        heads = np.flatnonzero(new_anchor)
+        kinds = np.add.reduceat(new_around.astype(np.int64), heads)
+        others = np.repeat(kinds > 1, np.diff(np.append(heads, len(doc))))
+        says = np.zeros(len(every), dtype=np.uint8)
+        # A block whose smallest document is not the smallest of all has it outside; ties cannot be, an id lies in one block.
+        says[order] = (least < doc) * _OUTSIDE + others * _OTHERS
+        answers = []
+        for k in range(len(lists)):
+            mine = source == k
+            told = np.zeros(int(mine.sum()), dtype=_ANSWER)
+            told["around"], told["says"] = every["around"][mine], says[mine]
+            answers.append(told.tobytes())
+        return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "says": pa.array(answers, pa.binary())})
+
+    told = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(tell, "block int, bucket int, entries binary")
+    return told.groupBy("bucket").applyInArrow(meet, "block int, bucket int, says binary")
+
+
+def placed(rows: DataFrame, says: DataFrame, shards: int) -> DataFrame:
+    """What every block makes of the answers, as rows of two kinds.
+
+    (doc_id, digest, start, end) with a null ``around``: strings that a smaller document
+    has with the same surroundings, runs merged. With ``around``: surroundings whose
+    smallest document is this one, but whose anchor has others; ``start`` is their
+    place and ``shard`` where they meet.
+    """
 
-def smallest_owners(distinct: DataFrame, length: int = LENGTH, memory: int = MEMORY) -> DataFrame:
-    """(shard, around, firsts, ends, owners): runs of starts within ``around`` and the smallest doc_id whose text has the string."""
+    def place(docs: pa.Table, told: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if docs.num_rows and told.num_rows:
+            answers = np.concatenate([np.frombuffer(x, dtype=_ANSWER) for x in told.column("says").to_pylist()])
+            answers = answers[np.argsort(answers["around"], kind="stable")]
+            ids, texts = docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()
+            copies = _first_copies(ids, texts)
+            found, least = [], {}
+            for digest, k in copies.items():
+                at, h = anchors(texts[k])
+                low = np.maximum(0, at - (WINDOW - 1))
+                around = np.array([xxhash.xxh3_64_intdigest(texts[k][a: p + LENGTH], p - a) for a, p in zip(low.tolist(), at.tolist())], dtype=np.uint64)
+                where = np.minimum(np.searchsorted(answers["around"], around), len(answers) - 1)
+                mine = answers["around"][where] == around
+                at, h, low, around, flags = at[mine], h[mine], low[mine], around[mine], answers["says"][where[mine]]
+                found.append((ids[k], digest, texts[k], at, h, low, around, flags))
+                for key in around.tolist():
+                    if key not in least or ids[k] < least[key]:
+                        least[key] = ids[k]
+            for doc, digest, text, at, h, low, around, flags in found:
+                smaller = ((flags & _OUTSIDE) > 0) | np.array([least[key] < doc for key in around.tolist()], dtype=bool)
+                ends = np.minimum(at + LENGTH, len(text))
+                start = end = -1
+                for a, e in zip(low[smaller].tolist(), ends[smaller].tolist()):
+                    if a > end:
+                        if end >= 0:
+                            out.append((doc, digest, start, end, None, None))
+                        start = a
+                    end = max(end, e)
+                if end >= 0:
+                    out.append((doc, digest, start, end, None, None))
+                mine = ~smaller & ((flags & _OTHERS) > 0)
+                for a, e, shard in zip(low[mine].tolist(), ends[mine].tolist(), (h[mine] % np.uint64(shards)).tolist()):
+                    out.append((doc, digest, a, e, shard, text[a:e]))
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        columns = list(zip(*out)) or [()] * 6
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=["doc_id", "digest", "start", "end", "shard", "around"])
+
+    return rows.groupBy("block").cogroup(says.groupBy("block")).applyInArrow(
+        place, "doc_id long, digest binary, start long, end long, shard int, around binary")
+
+
+def sorted_hits(held: DataFrame, length: int = LENGTH, memory: int = MEMORY) -> DataFrame:
+    """(doc_id, digest, start, end): runs of bytes whose strings a smaller document of the shard has."""
 
     def sort(group: pa.Table) -> pa.Table:
         ids = group.column("doc_id").to_numpy()
@@ -205,18 +316,18 @@ def smallest_owners(distinct: DataFrame, length: int = LENGTH, memory: int = MEM
         finally:
             shutil.rmtree(folder, ignore_errors=True)
         close(None)
-        places = np.flatnonzero(inside)
-        cut = np.append(True, (owner[places][1:] != owner[places][:-1]) | (row[places][1:] != row[places][:-1]))
+        places = np.flatnonzero(inside & (owner >= 0) & (owner < ids[row]))
+        cut = np.append(True, (np.diff(places) > 1) | (row[places][1:] != row[places][:-1])) if len(places) else np.zeros(0, bool)
         heads = np.flatnonzero(cut)
         tails = np.append(heads[1:], len(places)) - 1
-        runs_row, runs_first = row[places[heads]], places[heads] - firsts[row[places[heads]]]
+        own = row[places[heads]]
+        at = group.column("start").to_numpy()[own] - firsts[own]
+        digests = group.column("digest").to_pylist()
         return pa.table({
-            "shard": pa.array(np.full(len(heads), group.column("shard")[0].as_py() if len(texts) else 0, dtype=np.int32)),
-            "around": pa.array([texts[k] for k in runs_row.tolist()], pa.binary()),
-            "first": pa.array(runs_first.astype(np.int32)), "end": pa.array((runs_first + tails - heads + 1).astype(np.int32)),
-            "owner": pa.array(owner[places[heads]])})
+            "doc_id": pa.array(ids[own]), "digest": pa.array([digests[k] for k in own.tolist()], pa.binary()),
+            "start": pa.array(at + places[heads]), "end": pa.array(at + places[tails] + length)})
 
-    return distinct.groupBy("shard").applyInArrow(sort, "shard int, around binary, first int, end int, owner long")
+    return held.groupBy("shard").applyInArrow(sort, "doc_id long, digest binary, start long, end long")
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:
@@ -224,11 +335,9 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     n = parts(spark) * 2
     rows = _wanted(docs, n)
-    found = materialise(surroundings(rows, shared_anchors(rows, n), n, n), "passages-anchors")
-    distinct = found.groupBy("shard", "around").agg(F.min("doc_id").alias("doc_id"))
-    owners = smallest_owners(distinct)
-    hits = found.join(owners, ["shard", "around"]).filter("owner < doc_id").select(
-        "doc_id", "digest", (F.col("at") + F.col("first")).alias("start"), (F.col("at") + F.col("end") - 1 + LENGTH).alias("end"))
+    found = materialise(placed(rows, decided(rows, shared_anchors(rows, n), n), n), "passages-placed")
+    hits = found.filter("around is null").select("doc_id", "digest", "start", "end")
+    hits = hits.union(sorted_hits(found.filter("around is not null")))
     spans = F.array_sort(F.collect_set(F.struct("start", "end")))  # of one document
     return hits.groupBy("doc_id", "digest").agg(spans.alias("spans"))
 
