@@ -7,9 +7,9 @@ indexed once per bit position with that bit deleted (its wildcard), so segments
 within one bit share an index key. Equal keys meet by an equality shuffle, whole
 fingerprints are then compared.
 
-Only distinct fingerprints are indexed. The members of a key are cut into blocks,
-and a task compares two blocks of one key in numpy and returns a spanning forest of
-their links, not the pairs: a hot key costs more tasks, never a larger one.
+Only distinct fingerprints are indexed. The members of a key are compared in numpy
+and give a spanning forest of their links, not the pairs. Large keys are cut into
+blocks, and a task compares two blocks: a hot key costs more tasks, never a larger one.
 """
 
 from __future__ import annotations
@@ -114,60 +114,95 @@ def _forest(left: np.ndarray, right: np.ndarray, distance: int, links: list[tupl
             front = new
 
 
-def links(distinct: DataFrame, distance: int = MAX_DISTANCE, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between distinct fingerprints that join all that differ in at most ``distance`` bits."""
-    spark = distinct.sparkSession
-    keyed = index(distinct, distance)
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("bits"), F.col("blocks").cast("long")).cast("int")
-    members = keyed.join(shared, "key").withColumn("blocks", blocks).withColumn("own", own)
-    # A member goes to every pair of blocks that holds its own: (i, j), i <= j.
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = members.withColumn("other", other).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "bits")
-    dealt = dealt.repartition(parts(spark) * 2, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+def _streamed(rows: DataFrame, unit: list[str], distance: int, most: int | None) -> DataFrame:
+    """Links (a, b) within runs of rows of one unit; rows come grouped by ``unit``.
+
+    Where a unit has over ``most`` members, they are handed on instead, as rows with
+    their key and a null ``b``; so no more than ``most`` are ever held.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
-        last: tuple | None = None
+        held, last, key, over = 0, None, 0, False
         found: set[tuple[int, int]] = set()
+        handed: list[tuple[int, np.ndarray]] = []
+
+        def hand_on() -> None:
+            handed.append((key, np.concatenate(kept)))
+            kept.clear()
 
         def close() -> None:
-            if kept and sum(map(len, kept)) > 1:
+            nonlocal over
+            if over and kept:
+                hand_on()
+            elif held > 1:
                 members = np.unique(np.concatenate(kept))
+                made: list[tuple[int, int]] = []
                 if len(members) == 2:
                     if int(members[0] ^ members[1]).bit_count() <= distance:
-                        found.add((int(members[0]), int(members[1])))
-                    return
-                made: list[tuple[int, int]] = []
-                _forest(members, members, distance, made)
+                        made.append((int(members[0]), int(members[1])))
+                else:
+                    _forest(members, members, distance, made)
                 found.update((min(x), max(x)) for x in made)
+            kept.clear()
+            over = False
 
         def flush() -> pa.RecordBatch:
             pairs = np.array(sorted(found), dtype=np.uint64).reshape(-1, 2).view(np.int64)
+            keys = np.concatenate([np.zeros(len(pairs), np.int64), *(np.full(len(m), k, dtype=np.int64) for k, m in handed)])
+            a = np.concatenate([pairs[:, 0], *(m.view(np.int64) for _, m in handed)])
+            b = np.concatenate([pairs[:, 1], np.zeros(len(a) - len(pairs), np.int64)])
             found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+            handed.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(a), pa.array(b, mask=np.arange(len(a)) >= len(pairs))], ["key", "a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, i, j, bits = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "bits"))
-            bits = bits.view(np.uint64)
-            cuts = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            edges = [0, *cuts.tolist(), len(key)]
+            marks = [batch.column(c).to_numpy(zero_copy_only=False) for c in unit]
+            bits = batch.column("bits").to_numpy(zero_copy_only=False).view(np.uint64)
+            changes = np.zeros(len(bits) - 1, dtype=bool)
+            for m in marks:
+                changes |= m[1:] != m[:-1]
+            edges = [0, *(np.flatnonzero(changes) + 1).tolist(), len(bits)]
             for a, b in zip(edges, edges[1:]):
-                unit = (key[a], i[a], j[a])
-                if unit != last:
+                now = tuple(int(m[a]) for m in marks)
+                if now != last:
                     close()
-                    kept, last = [], unit
+                    held, last, key = 0, now, now[0]
                 kept.append(bits[a:b])
-            if len(found) > 200_000:
+                held += b - a
+                if most is not None and held > most:
+                    over = True
+                    hand_on()
+            if len(found) > 200_000 or len(handed) > 200:
                 yield flush()
         close()
         yield flush()
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(run, "key long, a long, b long")
+
+
+def links(distinct: DataFrame, distance: int = MAX_DISTANCE, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between distinct fingerprints that join all that differ in at most ``distance`` bits.
+
+    Keys with up to two blocks of members are settled where they meet; the members of
+    larger ones are dealt to pairs of blocks.
+    """
+    spark = distinct.sparkSession
+    n = parts(spark) * 2
+    keyed = index(distinct.repartition(n), distance).repartition(n, "key").sortWithinPartitions("key")
+    first = materialise(_streamed(keyed, ["key"], distance, 2 * block), "simhash-links")
+    settled = first.filter("b is not null").select("a", "b")
+    large = first.filter("b is null").select("key", F.col("a").alias("bits"))
+    sizes = large.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("bits"), F.col("blocks").cast("long")).cast("int")
+    members = large.join(sizes, "key").withColumn("own", own)
+    # A member goes to every pair of blocks that holds its own: (i, j), i <= j.
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "bits")
+    dealt = dealt.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return settled.union(_streamed(dealt, ["key", "i", "j"], distance, None).select("a", "b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE, seed: int = SEED) -> DataFrame:
