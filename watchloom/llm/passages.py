@@ -128,9 +128,16 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
         lists = [np.frombuffer(x, dtype="<u4") for x in group.column("hashes").to_pylist()]
         twice = [np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=len(h)) for x, h in zip(group.column("twice").to_pylist(), lists)]
         every = np.concatenate(lists)
-        value, count = np.unique(every, return_counts=True)
-        shared = np.union1d(value[count > 1], every[np.concatenate(twice) > 0])
-        answers = [h[np.isin(h, shared)].tobytes() for h in lists]
+        order = np.argsort(every)
+        value = every[order]
+        fresh = np.append(True, value[1:] != value[:-1])
+        firsts = np.flatnonzero(fresh)
+        # Shared: offered by two blocks, or by one that has it twice.
+        weight = np.add.reduceat(1 + np.concatenate(twice)[order].astype(np.int64), firsts)
+        shared = np.empty(len(every), dtype=bool)
+        shared[order] = np.repeat(weight > 1, np.diff(np.append(firsts, len(value))))
+        ends = np.cumsum([len(h) for h in lists])
+        answers = [h[shared[e - len(h): e]].tobytes() for h, e in zip(lists, ends.tolist())]
         return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "hashes": pa.array(answers, pa.binary())})
 
     offered = rows.mapInArrow(offer, "block int, bucket int, hashes binary, twice binary")
@@ -163,7 +170,7 @@ def _unpacked(known: pa.Table, buckets: int) -> np.ndarray:
 #: What a block is told about surroundings of its own: a smaller document outside has the same; the anchor has others too.
 _OUTSIDE, _OTHERS = 1, 2
 _ENTRY = np.dtype([("anchor", "<u4"), ("around", "<u8"), ("doc", "<i8")])
-_ANSWER = np.dtype([("around", "<u8"), ("says", "u1")])
+_ANSWER = np.dtype([("anchor", "<u4"), ("around", "<u8"), ("says", "u1")])
 
 
 def decided(rows: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
@@ -197,7 +204,6 @@ def decided(rows: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
     def meet(group: pa.Table) -> pa.Table:
         lists = [np.frombuffer(x, dtype=_ENTRY) for x in group.column("entries").to_pylist()]
         every = np.concatenate(lists)
-        source = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
         order = np.lexsort((every["doc"], every["around"], every["anchor"]))
         anchor, around, doc = (every[c][order] for c in ("anchor", "around", "doc"))
         new_anchor = np.append(True, anchor[1:] != anchor[:-1])
@@ -210,19 +216,17 @@ def decided(rows: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
         says = np.zeros(len(every), dtype=np.uint8)
         # A block whose smallest document is not the smallest of all has it outside; ties cannot be, an id lies in one block.
         says[order] = (least < doc) * _OUTSIDE + others * _OTHERS
-        answers = []
-        for k in range(len(lists)):
-            mine = source == k
-            told = np.zeros(int(mine.sum()), dtype=_ANSWER)
-            told["around"], told["says"] = every["around"][mine], says[mine]
-            answers.append(told.tobytes())
+        told = np.zeros(len(every), dtype=_ANSWER)
+        told["anchor"], told["around"], told["says"] = every["anchor"], every["around"], says
+        ends = np.cumsum([len(x) for x in lists])
+        answers = [told[e - len(x): e].tobytes() for x, e in zip(lists, ends.tolist())]
         return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "says": pa.array(answers, pa.binary())})
 
     told = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(tell, "block int, bucket int, entries binary")
     return told.groupBy("bucket").applyInArrow(meet, "block int, bucket int, says binary")
 
 
-def placed(rows: DataFrame, says: DataFrame, shards: int) -> DataFrame:
+def placed(rows: DataFrame, says: DataFrame, buckets: int, shards: int) -> DataFrame:
     """What every block makes of the answers, as rows of two kinds.
 
     (doc_id, digest, start, end) with a null ``around``: strings that a smaller document
@@ -234,24 +238,21 @@ def placed(rows: DataFrame, says: DataFrame, shards: int) -> DataFrame:
     def place(docs: pa.Table, told: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if docs.num_rows and told.num_rows:
-            answers = np.concatenate([np.frombuffer(x, dtype=_ANSWER) for x in told.column("says").to_pylist()])
+            lists = [np.frombuffer(x, dtype=_ANSWER) for x in told.column("says").to_pylist()]
+            keys = np.sort(np.concatenate([
+                x["anchor"].astype(np.uint64) * np.uint64(buckets) + np.uint64(b) for x, b in zip(lists, told.column("bucket").to_pylist())]))
+            answers = np.concatenate(lists)
             answers = answers[np.argsort(answers["around"], kind="stable")]
-            ids, texts = docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()
-            copies = _first_copies(ids, texts)
-            found, least = [], {}
-            for digest, k in copies.items():
-                at, h = anchors(texts[k])
-                low = np.maximum(0, at - (WINDOW - 1))
-                around = np.array([xxhash.xxh3_64_intdigest(texts[k][a: p + LENGTH], p - a) for a, p in zip(low.tolist(), at.tolist())], dtype=np.uint64)
-                where = np.minimum(np.searchsorted(answers["around"], around), len(answers) - 1)
-                mine = answers["around"][where] == around
-                at, h, low, around, flags = at[mine], h[mine], low[mine], around[mine], answers["says"][where[mine]]
-                found.append((ids[k], digest, texts[k], at, h, low, around, flags))
-                for key in around.tolist():
-                    if key not in least or ids[k] < least[key]:
-                        least[key] = ids[k]
-            for doc, digest, text, at, h, low, around, flags in found:
-                smaller = ((flags & _OUTSIDE) > 0) | np.array([least[key] < doc for key in around.tolist()], dtype=bool)
+            known, says_of = np.ascontiguousarray(answers["around"]), answers["says"]
+            least = np.full(len(answers), np.iinfo(np.int64).max)
+            found = []
+            for doc, digest, text, at, h, low, hashes in _occurrences(docs, keys, buckets):
+                where = np.searchsorted(known, np.array(hashes, dtype=np.uint64))  # all are known: the block sent them
+                np.minimum.at(least, where, doc)
+                found.append((doc, digest, text, at, h, low, where))
+            for doc, digest, text, at, h, low, where in found:
+                flags = says_of[where]
+                smaller = ((flags & _OUTSIDE) > 0) | (least[where] < doc)
                 ends = np.minimum(at + LENGTH, len(text))
                 start = end = -1
                 for a, e in zip(low[smaller].tolist(), ends[smaller].tolist()):
@@ -335,7 +336,7 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     n = parts(spark) * 2
     rows = _wanted(docs, n)
-    found = materialise(placed(rows, decided(rows, shared_anchors(rows, n), n), n), "passages-placed")
+    found = materialise(placed(rows, decided(rows, shared_anchors(rows, n), n), n, n), "passages-placed")
     hits = found.filter("around is null").select("doc_id", "digest", "start", "end")
     hits = hits.union(sorted_hits(found.filter("around is not null")))
     spans = F.array_sort(F.collect_set(F.struct("start", "end")))  # of one document

@@ -107,13 +107,17 @@ def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int = CAP) -> np
 class Sweep:
     """What one sweep remembers: the shortest prefix since the last entry of each symbol."""
 
-    def __init__(self, queue: Runs, symbols: int) -> None:
-        self._queue = queue
+    def __init__(self, queue: Runs, symbols: int, track: bool) -> None:
+        self._queue, self._track = queue, track
         self._since = np.full(symbols, -1, dtype=np.int64)  # -1: none yet
 
     def extract(self, prefixes: np.ndarray, wanted: np.ndarray, keys: np.ndarray, before: np.ndarray) -> None:
         """A batch in order: ``prefixes`` shared with the one before; where ``wanted``, ``before`` is queued under ``keys``."""
         at = np.flatnonzero(wanted)
+        if not self._track:
+            order = at[np.argsort(keys[at], kind="stable")]
+            self._queue.push(keys[order], before[order], np.zeros(len(order), dtype=np.int64))
+            return
         if not len(at):
             if len(prefixes):
                 known = self._since >= 0
@@ -171,24 +175,25 @@ def types(text: np.ndarray) -> np.ndarray:
 
 
 def induce(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, prefixes: np.ndarray, symbols: int,
-           folder: str, name: str, memory: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+           folder: str, name: str, memory: int, track: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All suffixes in descending order, given the S seeds in ascending order with their prefixes.
 
     Yields batches (positions, prefix shared with the next larger suffix); ``seeds``
-    need only be sorted by what the caller wants resolved.
+    need only be sorted by what the caller wants resolved. Prefixes are carried only if
+    ``track``.
     """
     present = np.unique(text).tolist()
     heads = text[seeds]
     larger = Runs(folder, f"{name}-l", symbols, memory)
     kept = Runs(folder, f"{name}-k", symbols, memory)
-    up = Sweep(larger, symbols)
+    up = Sweep(larger, symbols, track)
     end = len(text) - 1
     ends_large = not small[end]
 
     def put(sweep: Sweep, positions: np.ndarray, shared: np.ndarray, s_type: bool) -> None:
         before = np.maximum(positions - 1, 0)
         wanted = (positions > 0) & (small[before] == s_type)
-        sweep.extract(shared, wanted, text[before].astype(np.int64), before)
+        sweep.extract(shared, wanted, text[before], before)  # small symbols are sorted by radix
 
     for c in present:
         last = -1
@@ -215,7 +220,7 @@ def induce(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, prefixes: np.
             shared[0] = common(text, np.array([last]), mine[:1])[0] if last >= 0 else 0
             put(up, mine, shared, False)
     smaller = Runs(folder, f"{name}-s", symbols, memory)
-    downward = Sweep(smaller, symbols)
+    downward = Sweep(smaller, symbols, track)
     for c in reversed(present):
         last = -1
         while True:
@@ -247,7 +252,7 @@ def _seed_order(text: np.ndarray, small: np.ndarray, symbols: int, folder: str,
     rough = starts[np.argsort(text[starts], kind="stable")].astype(np.int64)
     is_start = np.zeros(len(text) + 1, dtype=bool)
     is_start[starts] = True
-    parts = [p[is_start[p]] for p, _ in induce(text, small, rough, np.zeros(len(rough), np.int64), symbols, folder, f"{name}-r", memory)]
+    parts = [p[is_start[p]] for p, _ in induce(text, small, rough, np.zeros(len(rough), np.int64), symbols, folder, f"{name}-r", memory, track=False)]
     order = np.concatenate(parts)[::-1]
     # Pieces reach to the next start inclusive; the last one to the end of the text.
     follow = np.append(starts[1:], len(text) - 1)
