@@ -44,55 +44,39 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) - (1 << 63)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        self[word] = key = word_hash(word)
-        return key
-
-
 def held_out(doc_id: str = "doc_id"):
     modulus, rest = HELD_OUT
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == rest, F.lit(False))
 
 
-def _counted(rows: DataFrame, per_text, key: pa.DataType, kind: str) -> DataFrame:
-    """(key, n): ``per_text`` adds a text's keys to a counter; counts are summed in the task before they are shuffled."""
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _batch(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], ["key", "n"])
+
+
+def word_counts(train: DataFrame) -> DataFrame:
+    """(key, n) of every word of the training texts, and of the end; counted in the task before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        add = per_text()
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), key), pa.array(list(counts.values()), pa.int64())], ["key", "n"])
+            out = _batch(np.array([word_hash(w) for w in counts], dtype=np.int64), np.array(list(counts.values()), dtype=np.int64))
             counts.clear()
             return out
 
         for (texts,) in rows_of(batches, "text"):
             for text in texts:
-                add(text, counts)
+                counts.update(text.lower().split())
+                counts[END] += 1
                 if len(counts) > _FLUSH:
                     yield flush()
         yield flush()
 
-    return rows.mapInArrow(run, f"key {kind}, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def word_counts(train: DataFrame) -> DataFrame:
-    """(key, n) of every word of the training texts, and of the end."""
-
-    def per_text():
-        hashes = _Hashes()
-
-        def add(text: bytes, counts: Counter) -> None:
-            for word, n in Counter(text.lower().split()).items():
-                counts[hashes[word]] += n
-            counts[hashes[END]] += 1
-
-        return add
-
-    return _counted(train, per_text, pa.int64(), "long")
+    return _summed(train.mapInArrow(run, "key long, n long"))
 
 
 class Automaton:
@@ -196,38 +180,43 @@ def build(words: np.ndarray, n: np.ndarray, total: int, vocabulary: int, starts:
 def _gram_counts(train: DataFrame, words: np.ndarray, order: int, shorter: set[tuple[int, ...]], least: int) -> dict[tuple[int, ...], int]:
     """Counts of the n-grams of ``order`` whose parts are kept, from ``least`` on; at most 1 / SHARE of them."""
     width = len(words) + 2
-    known = np.sort(np.array([_packed(g, width) for g in shorter], dtype=np.uint64)) if order > 2 else None
+    if width ** order >= 1 << 63:
+        raise ValueError(f"{len(words)} frequent words cannot be packed in n-grams of order {order}; raise SHARE")
+    known = np.sort(np.array([_packed(g, width) for g in shorter], dtype=np.int64))
     sent = train.sparkSession.sparkContext.broadcast((words, known))
 
-    def per_text():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, parts_kept = sent.value
-        number = {k: i for i, k in enumerate(keys.tolist())}
-        hashes = _Numbers(number)
-        kept = set(parts_kept.tolist()) if parts_kept is not None else None
+        numbers = _Numbers({k: i for i, k in enumerate(keys.tolist())})
         start, rare = len(keys) + 1, len(keys)
+        held: list[np.ndarray] = []
+        size = 0
 
-        def add(text: bytes, counts: Counter) -> None:
-            w = [start, *map(hashes.__getitem__, text.lower().split()), hashes[END]]
+        def grams(text: bytes) -> np.ndarray:
+            found = text.lower().split()
+            w = np.fromiter((start, *map(numbers.__getitem__, found), numbers[END]), dtype=np.int64, count=len(found) + 2)
             if order == 2:
-                counts.update(a * width + b for a, b in zip(w, w[1:]) if a != rare and b != rare)
-                return
-            tuples = zip(*(w[k:] for k in range(order)))
-            for g in tuples:
-                if rare not in g:
-                    head = tail = 0
-                    for x in g[:-1]:
-                        head = head * width + x
-                    if head in kept:
-                        for x in g[1:]:
-                            tail = tail * width + x
-                        if tail in kept:
-                            counts[head * width + g[-1]] += 1
-
-        return add
+                return (w[:-1] * width + w[1:])[(w[:-1] != rare) & (w[1:] != rare)]
+            n = len(w) - order + 2  # parts of order - 1
+            if n < 2:
+                return w[:0]
+            part = np.zeros(n, dtype=np.int64)
+            for k in range(order - 1):
+                part = part * width + w[k: k + n]
+            fits = parts_kept[np.minimum(np.searchsorted(parts_kept, part), len(parts_kept) - 1)] == part
+            return (part[:-1] * width + w[order - 1:])[fits[:-1] & fits[1:]]
 
-    if width ** order >= 1 << 63:
-        raise ValueError(f"{len(words)} frequent words cannot be packed in n-grams of order {order}; raise SHARE")
-    kept = _counted(train, per_text, pa.int64(), "long").filter(F.col("n") >= least).collect()
+        for (texts,) in rows_of(batches, "text"):
+            for text in texts:
+                held.append(grams(text))
+                size += len(held[-1])
+                if size > 4 * _FLUSH:
+                    yield _batch(*np.unique(np.concatenate(held), return_counts=True))
+                    held, size = [], 0
+        if held:
+            yield _batch(*np.unique(np.concatenate(held), return_counts=True))
+
+    kept = _summed(train.mapInArrow(run, "key long, n long")).filter(F.col("n") >= least).collect()
     out = {}
     for row in kept:
         g, left = [], row["key"]
