@@ -86,9 +86,7 @@ def grow_forest(features: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     Each tree sees the ``forest_sample`` rows with the smallest hashes, so the result
     is at most trees x 511 small structs whatever the input: a constant bound.
     """
-    size = features.agg(F.count(F.lit(1)).alias("n")).scalar()
-    # The wanted rows are among the smallest hashes. Four times their number is let
-    # through before ranking, and the rank then takes exactly the smallest ones.
+    # The rank takes exactly the smallest hashes; Spark also limits each task's rows by it before the shuffle.
     by_hash = Window.partitionBy("tree").orderBy("u", "analyst")
     rows = (
         features.select(
@@ -96,7 +94,6 @@ def grow_forest(features: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
             F.explode(F.sequence(F.lit(0), F.lit(cfg.forest_trees - 1))).alias("tree"),
         )
         .withColumn("u", uniform(cfg.forest_seed, F.lit("row"), F.col("tree"), F.col("analyst")))
-        .filter(F.col("u") * size < 4.0 * cfg.forest_sample)
         .withColumn("rank", F.row_number().over(by_hash))
         .filter(F.col("rank") <= cfg.forest_sample)
     )

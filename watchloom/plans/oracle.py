@@ -9,13 +9,13 @@ import re
 
 FIXTURE = {
     "soc_entities": """
-select 'ENT-' || lpad(n_nationkey::varchar, 2, '0') entity_id, r_name sector,
+select 'ENT-' || lpad(n_nationkey::varchar, greatest(2, length(n_nationkey::varchar))::int, '0') entity_id, r_name sector,
   case when n_nationkey < 15 then 'Tier 1' else 'Tier 2' end size_tier,
   'Region-' || (n_regionkey + 1)::varchar region,
   case n_nationkey % 3 when 0 then 'In-House' when 1 then 'MSSP' else 'Hybrid' end soc_model
 from nation join region on n_regionkey = r_regionkey""",
     "soc_assets": """
-select 'AST-' || c_custkey::varchar asset_id, 'ENT-' || lpad(c_nationkey::varchar, 2, '0') entity_id,
+select 'AST-' || c_custkey::varchar asset_id, 'ENT-' || lpad(c_nationkey::varchar, greatest(2, length(c_nationkey::varchar))::int, '0') entity_id,
   case c_custkey % 6 when 0 then 'Server' when 1 then 'Workstation' when 2 then 'Router'
     when 3 then 'Firewall' when 4 then 'Database' else 'IoT' end as type,
   case c_custkey % 4 when 0 then 'Critical' when 1 then 'High' when 2 then 'Medium' else 'Low' end criticality,
@@ -23,7 +23,7 @@ select 'AST-' || c_custkey::varchar asset_id, 'ENT-' || lpad(c_nationkey::varcha
 from customer""",
     "soc_alerts_base": """
 select o_orderkey k, c_custkey ck, c_nationkey nk, 'ALT-' || o_orderkey::varchar alert_id,
-  'ENT-' || lpad(c_nationkey::varchar, 2, '0') entity_id, 'AST-' || c_custkey::varchar asset_id,
+  'ENT-' || lpad(c_nationkey::varchar, greatest(2, length(c_nationkey::varchar))::int, '0') entity_id, 'AST-' || c_custkey::varchar asset_id,
   'RULE-' || lpad(((o_orderkey // 7) % 50)::varchar, 3, '0') rule_id,
   case o_orderstatus when 'F' then 'Malware' when 'O' then 'Phishing' else 'Auth Failure' end category,
   6 - substr(o_orderpriority, 1, 1)::int severity,

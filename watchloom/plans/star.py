@@ -25,7 +25,7 @@ def _minutes(expr: str) -> str:
 
 
 def _entity(key: str) -> str:
-    return f"'ENT-' || lpad(cast({key} as string), 2, '0')"
+    return f"'ENT-' || lpad(cast({key} as string), greatest(2, length(cast({key} as string))), '0')"
 
 
 class Star:
