@@ -17,9 +17,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -48,9 +49,10 @@ EVENTS = ("insult", "negated", "reported", "targeted", "threat")
 PRIOR = (2.0, 0.5, 0.5, 2.0, 3.0)
 PRIOR_BIAS = -3.0
 
-_TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[.!?;\n\"“”«»]")
+_TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[\"“”«»]")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
-_ENDS = frozenset(".!?;\n")
+_ENDS = ".!?;\n"
+_END = re.compile(f"[{_ENDS}]")
 
 
 @dataclass(frozen=True)
@@ -130,6 +132,11 @@ class Reader:
         self._model, self._memo = model, {}
         self._fixed = {w: kind for kind, words in SYMBOLS.items() for w in words.split()}
         self._fixed |= {q: "quote" for q in "\"“”«»"}
+        # Finds where an insult or a threat may stand; what it is, the word itself says.
+        self._finder = ahocorasick.Automaton()
+        for word in (*THREATS.split(), *(entry.removesuffix("$") for entry in model.lexicon)):
+            self._finder.add_word(word, word)
+        self._finder.make_automaton()
         machine = grammar()
         numbers = {s: k for k, s in enumerate(dict.fromkeys([machine.start, *(s for s, _ in machine.arcs)]))}
         self._arcs = {(numbers[s], x): (numbers[to], [EVENTS.index(e) for e in events]) for (s, x), (to, _, events) in machine.arcs.items()}
@@ -146,19 +153,27 @@ class Reader:
         return known
 
     def features(self, text: str) -> list[float]:
-        """How often each event occurs over all clauses, insults by the weight of their word."""
+        """How often each event occurs over all clauses, insults by the weight of their word.
+
+        Every event needs an insult or a threat, and a clause's end resets the machine, so
+        only clauses where one may stand are read.
+        """
         low = text.lower()
         out = [0.0] * len(EVENTS)
-        kinds = {self.symbol(w)[0] for w in set(_WORD.findall(low))}
-        if "insult" not in kinds and "threat" not in kinds:
-            return out
-        state, weight = 0, 1.0
-        for token in _TOKEN.findall(low):
-            if token in _ENDS:
-                for k in self._final.get(state, ()):
-                    out[k] += weight
-                state, weight = 0, 1.0
+        end = 0
+        for last, word in self._finder.iter(low):
+            at = last - len(word) + 1
+            if at < end or (at and low[at - 1].isalnum()):
                 continue
+            start = max(end, *(low.rfind(c, end, at) + 1 for c in _ENDS))
+            found = _END.search(low, at)
+            end = found.start() if found else len(low)
+            self._read(low[start:end], out)
+        return out
+
+    def _read(self, clause: str, out: list[float]) -> None:
+        state, weight = 0, 1.0
+        for token in _TOKEN.findall(clause):
             symbol, by = self.symbol(token)
             state, events = self._arcs[state, symbol]
             if symbol == "insult":
@@ -167,7 +182,6 @@ class Reader:
                 out[k] += by if k < 3 else 1.0
         for k in self._final.get(state, ()):
             out[k] += weight
-        return out
 
     def score(self, text: str) -> float:
         z = self._model.bias + sum(w * math.log1p(x) for w, x in zip(self._model.weights, self.features(text)))
