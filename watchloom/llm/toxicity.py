@@ -226,45 +226,58 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = LABELLED_SAMPLE) ->
         once.unpersist()
 
 
+def _pure(by_entry: DataFrame, n1: int, n0: int, tested: int) -> dict[str, float]:
+    """Log-odds of the entries (entry, c1, c0) that mark toxic documents."""
+    both = F.col("c1") + F.col("c0")
+    part = lambda c, n: F.when(c > 0, c * F.log(c * (n0 + n1) / (both * n))).otherwise(0.0)
+    ratio = 2 * (part(F.col("c1"), n1) + part(F.col("c0"), n0))
+    pure = by_entry.filter((ratio >= 2 * math.log(max(2, tested))) & (
+        F.col("c1") / n1 >= MIN_PRECISION / (1 - MIN_PRECISION) * F.col("c0") / n0))
+    return {r["entry"]: math.log((r["c1"] + 0.5) / (n1 + 1)) - math.log((r["c0"] + 0.5) / (n0 + 1)) for r in pure.collect()}
+
+
 def _fit(once: DataFrame) -> Model:
     sizes = {r["toxic"]: r["n"] for r in once.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
         return Model({})
 
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for kind, counter in enumerate(counts):
-                if counter:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(counter)), pa.array([kind] * len(counter), pa.int32()), pa.array(list(counter.values()), pa.int64())],
-                        ["entry", "toxic", "n"])
-                    counter.clear()
-
-        for texts, toxic in rows_of(batches, "text", "toxic"):
-            for text, kind in zip(texts, toxic):
-                found = set()
-                for w in set(_WORD.findall(text.lower())):
-                    found.add(w + "$")
-                    found.update(w[:n] for n in PREFIXES if len(w) >= n)
-                counts[kind].update(found)
-            if len(counts[0]) + len(counts[1]) > 300_000:
-                yield from flush()
-        yield from flush()
-
-    by_entry = once.mapInArrow(entries, "entry string, toxic int, n long").groupBy("entry").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("c1"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c0"))
-    # An entry is pure beyond the classes' ratio; a bounded sample has a bounded number of such entries.
-    by_entry = by_entry.filter(F.col("c1") + F.col("c0") >= MIN_TOXIC)
-    tested = by_entry.count()
-    both = F.col("c1") + F.col("c0")
-    part = lambda c, n: F.when(c > 0, c * F.log(c * (n0 + n1) / (both * n))).otherwise(0.0)
-    ratio = 2 * (part(F.col("c1"), n1) + part(F.col("c0"), n0))
-    pure = by_entry.filter((F.col("c1") >= MIN_TOXIC) & (ratio >= 2 * math.log(max(2, tested))) & (
-        F.col("c1") / n1 >= MIN_PRECISION / (1 - MIN_PRECISION) * F.col("c0") / n0))
-    odds = {r["entry"]: math.log((r["c1"] + 0.5) / (n1 + 1)) - math.log((r["c0"] + 0.5) / (n0 + 1)) for r in pure.collect()}
+    def documents_with(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
+        """(entry, n): in how many documents an entry occurs, counted in the task first; only ``wanted`` ones if given."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counts: Counter = Counter()
+
+            def flush() -> pa.RecordBatch:
+                out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["entry", "n"])
+                counts.clear()
+                return out
+
+            for (texts,) in rows_of(batches, "text"):
+                for text in texts:
+                    words = set(_WORD.findall(text.lower()))
+                    found = {w + "$" for w in words}
+                    for n in PREFIXES:
+                        found.update([w[:n] for w in words if len(w) >= n])
+                    counts.update(found if wanted is None else found & wanted)
+                    if len(counts) > 300_000:
+                        yield flush()
+            yield flush()
+
+        return rows.select("text").mapInArrow(run, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+
+    # Only what occurs in enough toxic documents can be pure, so only that is counted in the others. All of it comes
+    # from the toxic part of a bounded sample; every entry seen there counts as tested.
+    toxic = documents_with(once.filter("toxic = 1"), None).persist()
+    try:
+        tested = toxic.count()
+        by_entry = toxic.filter(F.col("n") >= MIN_TOXIC).withColumnRenamed("n", "c1")
+        candidates = frozenset(r["entry"] for r in by_entry.select("entry").collect())
+        clean = documents_with(once.filter("toxic = 0"), candidates).withColumnRenamed("n", "c0")
+        by_entry = by_entry.join(clean, "entry", "left").select("entry", "c1", F.coalesce("c0", F.lit(0)).alias("c0"))
+        odds = _pure(by_entry, n1, n0, tested)
+    finally:
+        toxic.unpersist()
     # A beginning stands for its words: what a shorter pure beginning covers is left out.
     lexicon = {}
     for entry, value in odds.items():
