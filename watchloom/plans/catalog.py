@@ -20,7 +20,7 @@ from watchloom.sources import bundle, export
 from watchloom.sources.coerce import coerce_table, to_list, to_severity, to_timestamp
 from watchloom.sources.csv_scan import ROW_ID
 from watchloom.sources.mapping import map_columns
-from watchloom.sources.tables import read_table
+from watchloom.sources.tables import load_tables, read_table
 from watchloom.sources.validate import drop_duplicates_keep_first, prepare
 
 KEY = ["detector_id", "entity_id", "target_id", "severity"]
@@ -459,6 +459,18 @@ def csv_bundle(s: Star) -> DataFrame:
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+@query
+def csv_bundle_store(s: Star) -> DataFrame:
+    """Alerts sent as CSV by entity 007, ingested and loaded as an assessment loads them."""
+    base = scratch_path(s.spark, "csv-store")
+    s.tables().alerts.drop("k", "nk", "entity_id").write.option("header", True).option("sep", ";").csv(f"{base}/in")
+    sender = {"sector": "Power", "size_tier": "Tier 1", "region": "North", "soc_model": "MSSP"}
+    bundle.ingest_csv_bundle(s.spark, "007", f"{base}/in", output_dir=f"{base}/real", entity=sender)
+    t = load_tables(s.spark, base)
+    alerts = t.alerts.select("alert_id", "entity_id", "severity", "created_ts", "closed_ts")
+    return alerts.join(t.entities.select("entity_id", "sector"), "entity_id")
+
+
 @query
 def export_manifest(s: Star) -> DataFrame:
     """Every exported file with its size and hash."""

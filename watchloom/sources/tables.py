@@ -29,6 +29,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
+def _read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A folder whose partition values, such as entity 007, stay text. They are resolved at once, so the setting need not last."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_table(spark: SparkSession, name: str, paths: Iterable[str]) -> DataFrame:
     """One table over several Parquet locations, united by column name.
 
@@ -40,7 +51,7 @@ def read_table(spark: SparkSession, name: str, paths: Iterable[str]) -> DataFram
     parts = []
     for path in paths:
         try:
-            parts.append(conform(spark.read.parquet(path), schema))
+            parts.append(conform(_read_parquet(spark, path), schema))
         except AnalysisException as err:
             if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
