@@ -523,8 +523,6 @@ select count(*) orphans from soc_alerts where asset_id not in (select asset_id f
 select alert_id, entity_id, case when entity_id = 'ENT-08' then 'Reopened' else status end status from soc_alerts""",
     "append_validated": "select alert_id, entity_id, severity, closed_ts from soc_alerts",
     "json_bundle": "select alert_id, entity_id, severity, created_ts, closed_ts from soc_alerts",
-    "csv_bundle_store": """
-select alert_id, '007' entity_id, severity, created_ts, closed_ts, 'Power' sector from soc_alerts""",
     "csv_bundle": """
 select 'alerts' "table", n rows_in, n rows_ok, 0::bigint rows_rejected, 0::bigint duplicates_dropped,
   round(100 * (0.6::double + 0.4::double * (9.0 + round(closed, 3)) / 10), 1) quality_score
