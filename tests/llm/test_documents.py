@@ -332,3 +332,33 @@ def test_traversal_equals_the_recursion():
     model = language_model.build(np.array([11, 22, 33]), np.array([50, 30, 20]), 100, 3, 10, grams)
     one = sum(model.step_many([w], s) for w, s in zip([0, 1, 2], [model.start_state, model.state_of[0,], model.state_of[0, 1]]))
     assert math.isclose(model.step_many([0, 1, 2], model.start_state), one)
+
+
+def test_scores_equal_the_automaton(spark, docs):
+    """Every n-gram that occurs twice is an arc, whatever its share; with a high share nearly all are looked up by joins."""
+    rng = random.Random(4)
+    words = ["w%d" % min(rng.randrange(1, 40), rng.randrange(1, 40)) for _ in range(40)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(25))) + f" once{k}" * (k % 3) for k in range(150)]
+    train = [[b"\r", *t.encode().split(), b"\n"] for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1]
+    n = Counter(w for t in train for w in t[1:])
+    twice = sorted(w for w in n if n[w] > 1)
+    number = {**{w: i for i, w in enumerate(twice)}, b"\r": len(twice) + 1}
+    grams = [Counter(tuple(map(number.get, t[i:i + k])) for t in train for i in range(len(t) - k + 1)) for k in (2, 3)]
+    grams = [{g: c for g, c in kept.items() if c > 1 and None not in g} for kept in grams]
+    total = sum(n.values())
+    model = language_model.build(np.array([language_model.word_hash(w) for w in twice]), np.array([n[w] for w in twice]), total, len(n), len(train), grams)
+    for share in (1e-6, 0.02, 1.0):
+        for r in language_model.score(docs(texts), share=share).collect():
+            own = [*texts[r["doc_id"]].encode().split(), b"\n"]
+            want = model.step_many([number.get(w, len(twice)) for w in own], model.start_state)
+            want += sum(math.log10((n[w] + 0.5) / (total + 0.5 * (len(n) + 1))) for w in own if w not in number)
+            assert math.isclose(r["score"], want, rel_tol=1e-9), (share, r)
+
+
+def test_a_large_corpus_keeps_what_occurs_twice(spark, docs):
+    texts = ["x " * 300_000] * 8 + ["alpha beta", "alpha beta", "alpha beta"]
+    ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 5 != 1][:10] + [next(k for k in range(60) if zlib.crc32(str(k).encode()) % 5 == 1)]
+    held = next(r for r in language_model.score(docs(texts, ids)).collect() if r["held_out"])
+    assert held["train_tokens"] > 2_000_000 and held["n_tokens"] == 3
+    # "alpha" after the start has 2 of 10; "beta" after it and the end after both have 2 of 2, less the discount, at two orders.
+    assert -1.5 < held["score"] < -0.5 and held["base_score"] < -15

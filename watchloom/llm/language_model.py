@@ -2,18 +2,24 @@
 
 The automaton's states are the empty context and the kept n-grams shorter than
 ``ORDER``; arcs carry log-probabilities, failure arcs the backoff weight of a state.
-A document is read once from left to right: where a state has no arc for the next
-word, its failure arc is paid and the shorter context tried.
+Where a state has no arc for the next word, its failure arc is paid and the shorter
+context tried.
 
-Sizes. Every word of the corpus is counted. An n-gram becomes an arc if its share of
-the training tokens reaches ``SHARE`` (and it occurs twice), so there are at most
-``1 / SHARE`` arcs per order whatever the corpus: that proves the bound of what the
-tasks hold. The n-grams of an order are counted only where their shorter parts are
-arcs. Words below the share have no arcs; reading one ends in the empty context, and
-its unigram probability comes from a join with the full word counts.
+Every word of the corpus is counted, and every n-gram that occurs ``MIN_COUNT`` times
+is an arc, at any size of the corpus: words, n-grams, probabilities and backoff
+weights are Spark tables by hashed key. An n-gram is the pair of the keys of its
+parts without the last and without the first word, and its own key hashes that pair.
+
+A document's score is a sum over the keys of its n-grams. Every word pays its unigram
+probability and, as the context of what follows, its backoff weight; every n-gram that
+is an arc pays its backoff weight, and what its arc has over the failure path. So one
+join on the key and one sum by row score all documents. Keys whose share of the training
+tokens reaches ``SHARE`` travel to the tasks instead of being joined, at most ``1 / SHARE``
+for each order; the share decides where a key is looked up, never whether it counts.
 
 Probabilities are interpolated absolute discounting over an add-half unigram
-distribution, so they sum to one in every state.
+distribution, so they sum to one in every state. ``Automaton`` is the same model
+traversed in one process.
 """
 
 from __future__ import annotations
@@ -177,75 +183,130 @@ def build(words: np.ndarray, n: np.ndarray, total: int, vocabulary: int, starts:
     return made
 
 
-def _gram_counts(train: DataFrame, words: np.ndarray, order: int, shorter: set[tuple[int, ...]], least: int) -> dict[tuple[int, ...], int]:
-    """Counts of the n-grams of ``order`` whose parts are kept, from ``least`` on; at most 1 / SHARE of them."""
-    width = len(words) + 2
-    if width ** order >= 1 << 63:
-        raise ValueError(f"{len(words)} frequent words cannot be packed in n-grams of order {order}; raise SHARE")
-    known = np.sort(np.array([_packed(g, width) for g in shorter], dtype=np.int64))
-    sent = train.sparkSession.sparkContext.broadcast((words, known))
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64(left, right)`` of two arrays of longs."""
+    out = np.full(len(left), 42, dtype=np.uint64)
+    for x in (left, right):
+        out = (out + (_P5 + np.uint64(8))) ^ (_turned(x.view(np.uint64) * _P2, 31) * _P1)
+        out = _turned(out, 27) * _P1 + _P4
+        out = (out ^ (out >> np.uint64(33))) * _P2
+        out = (out ^ (out >> np.uint64(29))) * _P3
+        out = out ^ (out >> np.uint64(32))
+    return out.view(np.int64)
+
+
+class _Keys(dict):
+    """Word to its key. Bounded."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 400_000:
+            self.clear()
+        self[word] = key = word_hash(word)
+        return key
+
+
+_START_KEY, _END_KEY = word_hash(START), word_hash(END)
+
+
+def _read(texts: list[bytes], keys: _Keys) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the start, the words and the end of each text, one after the other, and how many each text has."""
+    out: list[int] = []
+    sizes = []
+    for text in texts:
+        found = text.lower().split()
+        out.append(_START_KEY)
+        out.extend(map(keys.__getitem__, found))
+        out.append(_END_KEY)
+        sizes.append(len(found) + 2)
+    return np.array(out, dtype=np.int64), np.array(sizes, dtype=np.int64)
+
+
+def _longer(part: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(left, right, place) of the n-grams one word longer than those with the keys ``part`` at the places ``at``."""
+    follows = np.flatnonzero(at[1:] == at[:-1] + 1)
+    return part[follows], part[follows + 1], at[follows]
+
+
+def _bigrams(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    at = np.flatnonzero(words[:-1] != _END_KEY)
+    return words[at], words[at + 1], at
+
+
+def gram_counts(train: DataFrame, order: int) -> DataFrame:
+    """(left, right, n) of the n-grams of ``order`` that occur at least ``MIN_COUNT`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, parts_kept = sent.value
-        numbers = _Numbers({k: i for i, k in enumerate(keys.tolist())})
-        start, rare = len(keys) + 1, len(keys)
-        held: list[np.ndarray] = []
+        keys = _Keys()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
-        def grams(text: bytes) -> np.ndarray:
-            found = text.lower().split()
-            w = np.fromiter((start, *map(numbers.__getitem__, found), numbers[END]), dtype=np.int64, count=len(found) + 2)
-            if order == 2:
-                return (w[:-1] * width + w[1:])[(w[:-1] != rare) & (w[1:] != rare)]
-            n = len(w) - order + 2  # parts of order - 1
-            if n < 2:
-                return w[:0]
-            part = np.zeros(n, dtype=np.int64)
-            for k in range(order - 1):
-                part = part * width + w[k: k + n]
-            fits = parts_kept[np.minimum(np.searchsorted(parts_kept, part), len(parts_kept) - 1)] == part
-            return (part[:-1] * width + w[order - 1:])[fits[:-1] & fits[1:]]
-
-        for (texts,) in rows_of(batches, "text"):
-            for text in texts:
-                held.append(grams(text))
-                size += len(held[-1])
-                if size > 4 * _FLUSH:
-                    yield _batch(*np.unique(np.concatenate(held), return_counts=True))
-                    held, size = [], 0
+        def flush() -> pa.RecordBatch:
+            left, right = (np.concatenate(x) for x in zip(*held))
+            _, first, n = np.unique(pair_hash(left, right), return_index=True, return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(left[first]), pa.array(right[first]), pa.array(n, pa.int64())], ["left", "right", "n"])
+
+        for (texts,) in rows_of(batches, "text", at_most=64):
+            left, right, at = _bigrams(_read(texts, keys)[0])
+            for _ in range(order - 2):
+                left, right, at = _longer(pair_hash(left, right), at)
+            held.append((left, right))
+            size += len(left)
+            if size > 4 * _FLUSH:
+                yield flush()
+                size = 0
         if held:
-            yield _batch(*np.unique(np.concatenate(held), return_counts=True))
-
-    kept = _summed(train.mapInArrow(run, "key long, n long")).filter(F.col("n") >= least).collect()
-    out = {}
-    for row in kept:
-        g, left = [], row["key"]
-        for _ in range(order):
-            left, x = divmod(left, width)
-            g.append(x)
-        out[tuple(reversed(g))] = row["n"]
-    return out
+            yield flush()
 
+    found = train.mapInArrow(run, "left long, right long, n long")
+    return found.groupBy("left", "right").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT)
 
-def _packed(g: tuple[int, ...], width: int) -> int:
-    out = 0
-    for x in g:
-        out = out * width + x
-    return out
 
+def _with_backoff(level: DataFrame, longer: DataFrame | None, name: str) -> DataFrame:
+    """``level`` with the backoff weight of its n-grams as contexts of the n-grams ``longer``; one where they are none."""
+    if longer is None:
+        return materialise(level.withColumn("backoff", F.lit(1.0)), name)
+    used = longer.groupBy(F.col("left").alias("key")).agg(F.sum(F.col("n") - F.lit(DISCOUNT)).alias("used"))
+    weight = F.greatest(F.lit(1e-12), F.lit(1.0) - F.coalesce("used", F.lit(0.0)) / F.col("n"))
+    return materialise(level.join(used, "key", "left").withColumn("backoff", weight).drop("used"), name)
 
-class _Numbers(dict):
-    """Word to its number; rare words share one. Bounded."""
 
-    def __init__(self, number: dict[int, int]) -> None:
-        super().__init__()
-        self._number, self._rare = number, len(number)
+def arcs(counts: DataFrame, grams: list[DataFrame], total: int, vocabulary: int, starts: int) -> DataFrame:
+    """(key, n, base, extra, known) of every word and kept n-gram: what it adds to the scores.
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        self[word] = found = self._number.get(word_hash(word), self._rare)
-        return found
+    ``base`` is a word's log-count over that of an unknown word; ``extra`` an n-gram's
+    backoff weight and what its arc has over the failure path, as logarithms.
+    """
+    norm = total + 0.5 * (vocabulary + 1)
+    spark = counts.sparkSession
+    start = spark.range(1 if starts else 0).select(F.lit(_START_KEY).alias("key"), F.lit(starts).cast("long").alias("n"), F.lit(0).alias("known"))
+    level = counts.select("key", "n", F.lit(1).alias("known")).unionByName(start).withColumn("p", (F.col("n") + F.lit(0.5)) / F.lit(norm))
+    level = level.withColumn("over", F.lit(0.0))
+    out = []
+    for k, longer in enumerate([*grams, None]):
+        level = _with_backoff(level, longer, f"lm-level-{k + 1}")
+        base = F.when(F.col("known") == 1, F.log10(F.col("n") + F.lit(0.5)) - F.lit(math.log10(0.5))).otherwise(0.0)
+        out.append(level.select("key", "n", base.alias("base"), (F.col("over") + F.log10("backoff")).alias("extra"), "known"))
+        if longer is None:
+            break
+        context = level.select(F.col("key").alias("left"), F.col("n").alias("size"), "backoff")
+        rest = level.select(F.col("key").alias("right"), F.col("p").alias("rest"))
+        p = (F.col("n") - F.lit(DISCOUNT)) / F.col("size") + F.col("backoff") * F.col("rest")
+        level = longer.join(context, "left").join(rest, "right").select(
+            F.xxhash64("left", "right").alias("key"), "n", F.lit(0).alias("known"), p.alias("p"),
+            (F.log10(p) - F.log10("backoff") - F.log10("rest")).alias("over"))
+    made = out[0]
+    for more in out[1:]:
+        made = made.unionByName(more)
+    return made
 
 
 def score(docs: DataFrame, order: int = ORDER, share: float = SHARE) -> DataFrame:
@@ -263,53 +324,52 @@ def score(docs: DataFrame, order: int = ORDER, share: float = SHARE) -> DataFram
     counts = materialise(word_counts(train), "lm-words")
     totals = counts.agg(F.sum("n"), F.count("*")).first()
     total, vocabulary = totals[0] or 0, totals[1]
-    least = max(MIN_COUNT, math.ceil(share * total))
-    frequent = counts.filter(F.col("n") >= least).orderBy("key").collect()  # at most 1 / share
-    words = np.array([r["key"] for r in frequent], dtype=np.int64)
-    n = np.array([r["n"] for r in frequent], dtype=np.int64)
-    end = counts.filter(F.col("key") == word_hash(END)).first()
+    end = counts.filter(F.col("key") == _END_KEY).first()
     starts = end["n"] if end else 0
-    grams: list[dict[tuple[int, ...], int]] = []
-    if len(words):
-        for k in range(2, order + 1):
-            kept = _gram_counts(train, words, k, set(grams[-1]) if grams else set(), least)
-            if not kept:
-                break
-            # The start symbol is one past the rare word here and in the automaton.
-            grams.append(kept)
-    sent = spark.sparkContext.broadcast((words, n, grams))
-    norm = math.log10(total + 0.5 * (vocabulary + 1))
+    grams = [materialise(gram_counts(train, k), f"lm-grams-{k}") for k in range(2, order + 1)]
+    made = arcs(counts, grams, total, vocabulary, starts)
+    often = F.col("n") >= max(MIN_COUNT, math.ceil(share * total))
+    near = made.filter(often).orderBy("key").toArrow()  # at most 1 / share for each order
+    sent = spark.sparkContext.broadcast([near.column(c).to_numpy() for c in ("key", "base", "extra", "known")])
+    norm, unknown = math.log10(total + 0.5 * (vocabulary + 1)), math.log10(0.5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sizes, kept = sent.value
-        model = build(keys, sizes, total, vocabulary, starts, kept)
-        numbers = _Numbers(model.number)
-        rare = len(keys)
-        for ids, texts, held in rows_of(batches, "doc_id", "text", "held_out"):
-            out = []
-            for doc, text, is_held in zip(ids, texts, held):
-                found = text.lower().split()
-                w = [*map(numbers.__getitem__, found), numbers[END]]
-                arr = np.fromiter(w, dtype=np.int64, count=len(w))
-                common = arr[arr != rare]
-                base = float(np.log10(sizes[common] + 0.5).sum())
-                unknown = [word_hash(found[k]) if k < len(found) else word_hash(END) for k in np.flatnonzero(arr == rare).tolist()]
-                out.append((doc, is_held, len(w), len(common), base, model.step_many(w, model.start_state), unknown))
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()))
-            names = ["doc_id", "held_out", "n_tokens", "common", "base", "walk", "rare"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds], names)
-
-    walked = rows.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, common long, base double, walk double, rare array<long>")
+        known_keys, *values = sent.value
+        keys = _Keys()
+        for ids, texts, held in rows_of(batches, "doc_id", "text", "held_out", at_most=64):
+            words, sizes = _read(texts, keys)
+            of = np.repeat(np.arange(len(texts)), sizes)
+            sums = np.zeros((3, len(texts)))
+            far_key, far_of = [], []
+            part, at = words, np.arange(len(words))
+            for k in range(order):
+                if k:
+                    left, right, at = _bigrams(words) if k == 1 else _longer(part, at)
+                    part = pair_hash(left, right)
+                mine = of[at]
+                place = np.searchsorted(known_keys, part)
+                place[place == len(known_keys)] = 0
+                is_near = known_keys[place] == part if len(known_keys) else np.zeros(len(part), dtype=bool)
+                for total_of, value in zip(sums, values):
+                    total_of += np.bincount(mine[is_near], weights=value[place[is_near]], minlength=len(texts))
+                far_key.append(part[~is_near])
+                far_of.append(mine[~is_near])
+            far_key, far_of = np.concatenate(far_key), np.concatenate(far_of)
+            far_key = far_key[np.argsort(far_of, kind="stable")]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(far_of, minlength=len(texts)))]).astype(np.int32)
+            columns = [
+                pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(sizes - 1), pa.array(sums[0]), pa.array(sums[1]),
+                pa.array(sums[2].astype(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(far_key, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "base", "extra", "known", "far"])
+
+    walked = rows.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, base double, extra double, known long, far array<long>")
     walked = materialise(walked.withColumn("row", F.monotonically_increasing_id()), "lm-walks")
-    rare = walked.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
-    # Words are counted before the join, so a hot word meets each row once; unseen words have no count.
-    known = rare.join(counts, "key", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known"),
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.5))).alias("logs"),
-        F.sum("times").alias("times"))
-    joined = walked.drop("rare").join(known, "row", "left")
-    logs, times = F.coalesce("logs", F.lit(0.0)), F.coalesce("times", F.lit(0))
+    names = ["base", "extra", "known"]
+    far = walked.select("row", F.explode("far").alias("key")).join(made.filter(~often).drop("n"), "key")
+    far = far.groupBy("row").agg(*[F.sum(c).alias(f"far_{c}") for c in names])
+    joined = walked.drop("far").join(far, "row", "left")
+    base, extra, known = (F.col(c) + F.coalesce(F.col(f"far_{c}"), F.lit(0)) for c in names)
+    base_score = base + F.col("n_tokens") * F.lit(unknown - norm)
     return joined.select(
-        "doc_id", "held_out", "n_tokens", (F.col("common") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + logs - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
-        (F.col("walk") + logs - times * F.lit(norm)).alias("score"))
+        "doc_id", "held_out", "n_tokens", known.cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        base_score.alias("base_score"), (base_score + extra).alias("score"))
