@@ -271,6 +271,21 @@ def test_encoder_equals_the_json_file():
         assert encode(text) == encode.reference(text)
 
 
+def test_added_tokens_are_encoded_as_the_untouched_file_does(docs):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", "<|endoftext |>", "no such text", ""]
+    encode = packing.Encoder(packing.tokenizer_path())
+    want = {k: plain.encode(t, add_special_tokens=False).ids for k, t in enumerate(texts)}
+    assert want[0] == [64, 220, 50256, 275]
+    for k, t in enumerate(texts):
+        assert encode(t) == encode.reference(t) == want[k]
+    for r in packing.pack(docs(texts)).collect():
+        own = [*want[r["doc_id"]], packing.END_ID]
+        assert r["length"] == len(own) and r["ids_crc32"] == zlib.crc32(np.array(own, dtype="<u4").tobytes())
+
+
 def test_plan_places_every_piece_once():
     rng = random.Random(6)
     for _ in range(60):

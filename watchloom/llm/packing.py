@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import os
 import zlib
 from array import array
@@ -43,12 +44,14 @@ class Encoder:
     """Ids of the byte-level BPE in ``path``.
 
     The rank file beside the JSON holds the same vocabulary, and tiktoken encodes it
-    several times faster with the same ids; where it is missing or refuses a text,
-    the JSON file's own library encodes. Strings of special tokens are ordinary text.
+    several times faster with the same ids; where it is missing or refuses a text, and
+    where a text holds one of the file's added tokens, the JSON file's own library encodes.
     """
 
     def __init__(self, path: str) -> None:
         self._path, self._slow, self._fast = path, None, None
+        with open(path, encoding="utf-8") as file:
+            self._added = [t["content"] for t in json.load(file).get("added_tokens") or []]
         ranks = os.path.splitext(path)[0] + ".tiktoken"
         if os.path.exists(ranks):
             import public_tokenizers
@@ -64,11 +67,10 @@ class Encoder:
             from tokenizers import Tokenizer
 
             self._slow = Tokenizer.from_file(self._path)
-            self._slow.encode_special_tokens = True
         return self._slow.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str) -> list[int]:
-        if self._fast is None:
+        if self._fast is None or any(token in text for token in self._added):
             return self.reference(text)
         try:
             return self._fast.encode_ordinary(text)
