@@ -68,6 +68,17 @@ def test_blocks_of_broken_markup():
     assert found[0].path == ("<div", "a", "b", "<p")
 
 
+def test_svg_ends_where_it_is_closed():
+    def texts(page):
+        return [b.text for b in html_text.blocks(page)]
+
+    assert texts('<article><p>one <svg class="i"/> two</p><p>three</p></article>') == ["one two", "three"]
+    assert texts('<p>a<svg width="1"><svg><text>in</text></svg><text>out</text></svg>b</p><p>c</p>') == ["ab", "c"]
+    assert texts('<p>a<svg><svg x="/>"/><text>out</text><!-- </svg> --></svg>b</p>') == ["ab"]
+    assert texts("<p>a<SVG><text>open</text><p>b") == ["a"]
+    assert texts("<p>a<svg-icon>b</svg-icon>c</p></svg><p>d</p>") == ["abc", "d"]
+
+
 # --- url rules ---------------------------------------------------------------
 
 

@@ -38,12 +38,13 @@ _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = "script|style|noscript|template|svg|iframe|textarea"
+_RAW = "script|style|noscript|template|iframe|textarea"
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _BARRIER = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 _PIECE = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|(?P<text>[^<]+|<)", re.S | re.I)
+_SVG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<end>/?)svg(?=[\s/>])(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _DIGITS = re.compile(r"\d")
 _PART = re.compile(r"[A-Za-z]+")
@@ -56,6 +57,21 @@ class Block:
     linked: int  # characters inside links
 
 
+def _after_svg(page: str, start: int) -> int:
+    """Where the svg element that begins at ``start`` ends: at its own "/>", or where all svg elements opened in it are closed."""
+    depth = 0
+    for m in _SVG.finditer(page, start):
+        if m["end"] is None:
+            continue
+        if m["end"]:
+            depth -= 1
+        elif not m["attrs"].endswith("/"):
+            depth += 1
+        if depth <= 0:
+            return m.end()
+    return len(page)
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order; character references decoded, white space single, blank ones left out."""
     out: list[Block] = []
@@ -72,7 +88,9 @@ def blocks(page: str) -> list[Block]:
             held.clear()
         linked = 0
 
-    for m in _PIECE.finditer(page):
+    past = 0
+    while m := _PIECE.match(page, past):
+        past = m.end()
         if (text := m["text"]) is not None:
             held.append(text)
             if in_link:
@@ -82,6 +100,9 @@ def blocks(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag == "svg" and not m["end"]:
+            past = _after_svg(page, m.start())
+            continue
         if tag == "a":
             in_link = not m["end"]
         elif tag == "br":
