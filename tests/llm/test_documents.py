@@ -231,6 +231,19 @@ def test_templates_find_other_numbers_and_names_if_consistent(spark, docs):
     assert decontamination.report(docs([]), items).count() == 0
 
 
+def test_leaks_in_other_letters_and_with_other_token_counts(spark, docs):
+    heading = "The Great River Crossing Of The Northern Fleet In Winter"
+    long_item = "Yesterday in the town Anna bought 1200 apples and then with him Anna sold 1200 pears"
+    items = spark.createDataFrame([(1, ITEM), (2, heading), (3, long_item)], "item_id long, text string")
+    texts = [
+        "See this. " + heading + " or so", heading.upper(), "he read " + heading.lower(), ITEM.lower(), ITEM.upper(),
+        ITEM.replace("dollars and", "dollars today and"), ITEM.replace("for 3 dollars", "3 dollars"),
+        long_item.replace("Anna", "Maria Lopez").replace("1200", "1 200"),
+        "Yesterday Zoe Lee bought 1 2 apples for 7 dollars and then Max Lee gave 9 pears", "The Small Brook Passing Of The Southern Herd At Noon"]
+    got = {r["doc_id"]: r["item_ids"] for r in decontamination.report(docs(texts), items).collect()}
+    assert [got[k] for k in range(10)] == [[2], [2], [2], [1], [1], [1], [1], [3], [], []]
+
+
 def test_benchmark_in_slices(spark):
     items = spark.createDataFrame([(k, f"text {k} " * 5) for k in range(50)], "item_id long, text string")
     held = list(decontamination.slices(items, limit=300))

@@ -8,6 +8,12 @@ the item's slots always stands for the same value of the document's, and the oth
 way round. So a question with other numbers or names is found, while two texts that
 merely have numbers in the same places are not.
 
+Documents and items are looked at in three ways, each judged by itself: token by token
+as templates; as they stand but for case, which also finds copies made mostly of names
+and numbers or in other letters; and with every run of names, or of numbers and units,
+as one placeholder, so that a value may have another number of tokens. Alignments near
+each other add up, so inserted and deleted words do not hide an item.
+
 The benchmark goes to the tasks in slices of bounded size, each a pass over the
 documents; a benchmark of any size is handled, an ordinary one is one slice.
 """
@@ -67,15 +73,17 @@ class Canon:
         self._clear()
 
     def _clear(self) -> None:
-        self._hashes, self._flags, self._size = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint8), 0
+        self._hashes, self._plain = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint64)
+        self._flags, self._size = np.zeros(1 << 12, np.uint8), 0
         self._ids = _Ids(self)
         self._ids[_LINE]  # number 0
 
     def add(self, raw: str) -> int:
         at = self._size
         if at == len(self._hashes):
-            self._hashes, self._flags = (np.concatenate([x, np.zeros_like(x)]) for x in (self._hashes, self._flags))
+            self._hashes, self._plain, self._flags = (np.concatenate([x, np.zeros_like(x)]) for x in (self._hashes, self._plain, self._flags))
         self._hashes[at], self._flags[at] = self._classify(raw)
+        self._plain[at] = xxhash.xxh64_intdigest(value(raw))
         self._size += 1
         return at
 
@@ -95,22 +103,42 @@ class Canon:
             return self.number ^ self.unit, _NUM | end
         return xxhash.xxh64_intdigest(low), (_UPPER if bare[:1].isupper() else 0) | end
 
-    def templates(self, text: str) -> tuple[np.ndarray, np.ndarray, Callable[[int], str]]:
-        """(hash, slot?) of every token of the text, and the raw token at a place."""
+    def views(self, text: str) -> list[View]:
+        """The text as templates, as it stands but for case, and with runs of slots as one."""
         if self._size > self._most:
             self._clear()
         raw = text.replace("\n", f" {_LINE} ").split()
         ids = np.fromiter(map(self._ids.__getitem__, raw), dtype=np.int64, count=len(raw))
-        h, flags = self._hashes[ids], self._flags[ids]
+        h, plain, flags = self._hashes[ids], self._plain[ids], self._flags[ids]
         starts = np.ones(len(ids), dtype=bool)
         starts[1:] = (flags[:-1] & _END) > 0
         name = ((flags & _UPPER) > 0) & ~starts
         h[name] = self.name
-        slot = name | ((flags & (_NUM | _UNIT)) > 0)
-        if "\n" in text or _LINE in text:
-            words = np.flatnonzero(ids)
-            return h[words], slot[words], lambda k: raw[words[k]]
-        return h, slot, raw.__getitem__
+        kind = name + 2 * ((flags & (_NUM | _UNIT)) > 0) * ~name
+        words = np.flatnonzero(ids)
+        h, plain, kind = h[words], plain[words], kind[words]
+        slot, each = kind > 0, np.arange(len(words) + 1)
+        raw_at = lambda k: raw[words[k]]
+        first = np.ones(len(words), dtype=bool)
+        first[1:] = ~slot[1:] | (kind[1:] != kind[:-1])
+        at = np.append(np.flatnonzero(first), len(words))
+        joined = h[first]
+        numeric = (kind[first] == 2) & ((joined != self.unit) | (np.diff(at) > 1))
+        joined[numeric] = self.number
+        return [View(h, slot, each, raw_at), View(plain, slot, each, raw_at), View(joined, slot[first], at, raw_at)]
+
+
+@dataclass
+class View:
+    """Hashes of a text's parts, which of them are slots, and the token each begins at (and the end)."""
+
+    h: np.ndarray
+    slot: np.ndarray
+    at: np.ndarray
+    raw: Callable[[int], str]
+
+    def held(self, k: int) -> str:
+        return "".join(value(self.raw(t)) for t in range(self.at[k], self.at[k + 1]))
 
 
 def value(raw: str) -> str:
@@ -129,70 +157,111 @@ def windows(h: np.ndarray, n: int) -> np.ndarray:
 
 
 @dataclass
-class Slice:
-    """An index over some items: window length -> window hash -> (item, position)."""
+class Index:
+    """Windows of one view of some items: window length -> window hash -> (item, position)."""
 
-    items: dict[int, tuple[np.ndarray, np.ndarray, Callable[[int], str]]]
+    items: dict[int, View]
     at: dict[int, dict[int, list[tuple[int, int]]]]
     keys: dict[int, np.ndarray]
     maybe: dict[int, np.ndarray]  # window length -> a flag for the upper 20 bits of each window hash
 
 
-def index(items: list[tuple[int, str]], n: int = WINDOW, literals: int = LITERALS) -> Slice:
-    """Items shorter than a window are one window of their own length."""
-    canon, kept = Canon(), {}
-    at: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
-    for item, text in items:
-        h, slot, raw = canon.templates(text)
-        if not len(h):
-            continue
-        kept[item] = (h, slot, raw)
-        size = min(n, len(h))
-        # The first token counts as a sentence start here, but may be a name to the document: both are indexed.
-        other = h.copy()
-        other[0] = canon.name
-        for variant, upto in ((h, len(h)), (other, size)):
-            for p, key in enumerate(windows(variant[:upto], size).tolist()):
-                if (~slot[p: p + size]).sum() >= min(literals, size) and (item, p) not in at[size][key]:
-                    at[size][key].append((item, p))
-    keys = {s: np.array(sorted(d), dtype=np.uint64) for s, d in at.items()}
-    maybe = {}
-    for s, k in keys.items():
-        maybe[s] = np.zeros(1 << 20, dtype=bool)
-        maybe[s][(k >> np.uint64(44)).astype(np.int64)] = True
-    return Slice(kept, {s: dict(d) for s, d in at.items()}, keys, maybe)
-
-
-def leaks(text: str, known: Slice, canon: Canon, share: float = SHARE, run: int = RUN) -> list[tuple[int, int, int]]:
+def index(items: list[tuple[int, str]], n: int = WINDOW, literals: int = LITERALS) -> list[Index]:
+    """An index for each view. Items shorter than a window are one window of their own length."""
+    canon = Canon()
+    seen = [(item, views) for item, text in items if len((views := canon.views(text))[0].h)]
+    out = []
+    for which in range(3):
+        kept: dict[int, View] = {}
+        at: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        for item, views in seen:
+            view = kept[item] = views[which]
+            h, size = view.h, min(n, len(view.h))
+            variants = [(h, len(h))]
+            if which != 1:
+                # The first token counts as a sentence start here, but may be a name to the document: both are indexed.
+                other = h.copy()
+                other[0] = canon.name
+                variants.append((other, size))
+            for variant, upto in variants:
+                for p, key in enumerate(windows(variant[:upto], size).tolist()):
+                    rich = which == 1 or (~view.slot[p: p + size]).sum() >= min(literals, size)
+                    if rich and (item, p) not in at[size][key]:
+                        at[size][key].append((item, p))
+        keys = {s: np.array(sorted(d), dtype=np.uint64) for s, d in at.items()}
+        maybe = {}
+        for s, k in keys.items():
+            maybe[s] = np.zeros(1 << 20, dtype=bool)
+            maybe[s][(k >> np.uint64(44)).astype(np.int64)] = True
+        out.append(Index(kept, {s: dict(d) for s, d in at.items()}, keys, maybe))
+    return out
+
+
+class Cover:
+    """The tokens of an item that windows of a document cover in order, with one value for each slot value."""
+
+    def __init__(self, item: View, doc: View) -> None:
+        self.item, self.doc = item, doc
+        self.there: dict[str, str] = {}
+        self.back: dict[str, str] = {}
+        self.place = np.full(len(item.h), -1)  # part of the document that a part of the item lies at
+
+    def add(self, p: int, q: int, size: int) -> None:
+        mine, new = self.place[q: q + size], np.arange(p, p + size)
+        before, after = self.place[:q], self.place[q + size:]
+        if ((mine >= 0) & (mine != new)).any() or (before >= p).any() or ((after >= 0) & (after < p + size)).any():
+            return
+        item, doc = self.item, self.doc
+        pairs = [(item.held(q + k), doc.held(p + k)) for k in range(size) if item.slot[q + k] or doc.slot[p + k]]
+        there, back = dict(self.there), dict(self.back)
+        if all(there.setdefault(a, b) == b and back.setdefault(b, a) == a for a, b in pairs):
+            self.there, self.back = there, back
+            self.place[q: q + size] = new
+
+    def sizes(self) -> tuple[int, int]:
+        """Tokens covered, and how many in a row."""
+        covered = np.repeat(self.place >= 0, np.diff(self.item.at))
+        padded = np.flatnonzero(np.diff(np.concatenate([[0], covered.view(np.int8), [0]])))
+        return int(covered.sum()), int((padded[1::2] - padded[::2]).max()) if len(padded) else 0
+
+
+def leaks(text: str, known: list[Index], canon: Canon, share: float = SHARE, run: int = RUN) -> list[tuple[int, int, int]]:
     """(item, tokens covered, tokens of the item) of every item that ``text`` leaks."""
-    h, slot, raw = canon.templates(text)
-    lines: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
-    for size, keys in known.keys.items():
-        found = windows(h, size)
-        if not len(found) or not len(keys):
-            continue
-        maybe = np.flatnonzero(known.maybe[size][(found >> np.uint64(44)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(keys, found[maybe]), len(keys) - 1)
-        for p in maybe[keys[place] == found[maybe]].tolist():
-            for item, q in known.at[size][int(found[p])]:
-                lines[item, p - q].append((p, q, size))
     best: dict[int, tuple[int, int]] = {}
-    for (item, _), matched in lines.items():
-        _, item_slot, item_raw = known.items[item]
-        there: dict[str, str] = {}
-        back: dict[str, str] = {}
-        covered = np.zeros(len(item_slot), dtype=bool)
-        for p, q, size in sorted(matched):
-            pairs = [(value(item_raw(q + k)), value(raw(p + k))) for k in range(size) if item_slot[q + k] or slot[p + k]]
-            if all(there.get(a, b) == b and back.get(b, a) == a for a, b in pairs):
-                there.update(pairs)
-                back.update((b, a) for a, b in pairs)
-                covered[q: q + size] = True
-        total = int(covered.sum())
-        padded = np.flatnonzero(np.diff(np.concatenate([[0], covered.view(np.int8), [0]])))
-        longest = int((padded[1::2] - padded[::2]).max()) if len(padded) else 0
-        if total >= share * len(covered) or longest >= run:
-            best[item] = max(best.get(item, (0, 0)), (total, len(covered)))
+    for doc, own in zip(canon.views(text), known):
+        lines: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
+        for size, keys in own.keys.items():
+            found = windows(doc.h, size)
+            if not len(found) or not len(keys):
+                continue
+            maybe = np.flatnonzero(own.maybe[size][(found >> np.uint64(44)).astype(np.int64)])
+            place = np.minimum(np.searchsorted(keys, found[maybe]), len(keys) - 1)
+            for p in maybe[keys[place] == found[maybe]].tolist():
+                for item, q in own.at[size][int(found[p])]:
+                    lines.setdefault(item, {}).setdefault(p - q, []).append((p, q, size))
+        for item, by in lines.items():
+            view = own.items[item]
+            tokens = int(view.at[-1])
+            # Alignments of the item within half its length are near each other; each is taken first once.
+            reach, order, low = max(WINDOW, len(view.h) // 2), sorted(by), 0
+            for k, d in enumerate(order):
+                cover = Cover(view, doc)
+                for match in sorted(by[d]):
+                    cover.add(*match)
+                total, longest = cover.sizes()
+                while order[low] < d - reach:
+                    low += 1
+                if total < share * tokens and longest < run:
+                    high = k
+                    while high + 1 < len(order) and order[high + 1] <= d + reach:
+                        high += 1
+                    for near in sorted(order[low: high + 1], key=lambda e: (abs(e - d), e)):
+                        if near != d:
+                            for match in sorted(by[near]):
+                                cover.add(*match)
+                    total, longest = cover.sizes()
+                if total >= share * tokens or longest >= run:
+                    best[item] = max(best.get(item, (0, 0)), (total, tokens))
     return [(item, *best[item]) for item in sorted(best)]
 
 
