@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchloom.llm import decontamination, html_text, language_model, packing, passages, pii, simhash, topk, toxicity, url_rules
+from watchloom.llm import (
+    decontamination, divergence, html_text, language_model, licences, packing, passages, pii, simhash, topk, toxicity, url_rules, vafile,
+)
 from watchloom.llm.common import table
 from watchloom.session import prepare_session
 
@@ -63,9 +65,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare_session(spark)
+    return licences.find(table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare_session(spark)
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare_session(spark)
+    return vafile.cluster(table(spark, sf_dir, "embeddings"))
+
+
 OPERATORS = (
     op1_html_text, op2_pii, op3_simhash, op4_topk, op5_language_model, op6_url_rules, op7_suffix_array, op8_toxicity, op9_decontamination,
-    op10_packing,
+    op10_packing, op11_licences, op12_divergence, op13_vafile,
 )
 
 
@@ -74,7 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_topk": OP4_SQL}
+    return {"op4_topk": OP4_SQL, "op11_licences": licences.sql(), "op12_divergence": divergence.SQL, "op13_vafile": vafile.sql()}
 
 
 OP4_SQL = """
