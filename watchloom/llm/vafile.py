@@ -57,8 +57,7 @@ def quantised(vectors: DataFrame, dimensions: int = DIMENSIONS, scale: int = SCA
     usable = (F.size(x) == dimensions) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter(F.coalesce(usable, F.lit(False)))
     scaled = F.transform(x, lambda v: F.lit(float(scale)) * v.cast("double"))
-    fits = F.forall(scaled, lambda v: (v >= -float(MOST)) & (v < float(MOST)))
-    ints = F.transform(scaled, lambda v: F.when(fits, F.floor(v)).otherwise(
+    ints = F.transform(scaled, lambda v: F.when((v >= -float(MOST)) & (v < float(MOST)), F.floor(v)).otherwise(
         F.raise_error(F.lit(f"a component beyond {MOST} after scaling: distances would not fit 64 bits"))).cast("int"))
     return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", ints.alias("parts"))
 
@@ -137,10 +136,9 @@ def _borders(rows: DataFrame, dimensions: int, sample: int, bits: int) -> Cells:
             yield pa.RecordBatch.from_arrays([pa.array([x.tolist()], pa.list_(pa.int64())) for x in (least, most)], ["least", "most"])
 
     ends = rows.select("parts").mapInArrow(run, "least array<long>, most array<long>")
-    ends = ends.select(F.posexplode(F.arrays_zip("least", "most")).alias("d", "x")).groupBy("d").agg(
-        F.min("x.least").alias("least"), F.max("x.most").alias("most")).orderBy("d").collect()
+    least, most = ends.agg(*(F.array(*(f(F.get(c, d)) for d in range(dimensions))) for f, c in ((F.min, "least"), (F.max, "most")))).first()
     taken = rows.orderBy(F.xxhash64("row")).select("parts").limit(sample).collect()
-    return Cells(np.array([r["parts"] for r in taken], dtype=np.int64), np.array([r["least"] for r in ends]), np.array([r["most"] for r in ends]), bits)
+    return Cells(np.array([r["parts"] for r in taken], dtype=np.int64), np.array(least), np.array(most), bits)
 
 
 def _bucketed(rows: DataFrame) -> DataFrame:
@@ -248,10 +246,11 @@ def cluster(
         found = materialise(measured(seen.filter("fetch").join(rows, "row"), centroids, dimensions), "va-measured")
         if last:
             return _result(found.filter("row is not null"), centroids)
-        changes = found.filter("row is null").select("cluster", "count", F.posexplode("sums").alias("d", "x"))
-        for r in changes.groupBy("cluster", "d").agg(F.sum("x").alias("x"), F.sum("count").alias("n")).collect():  # k x dimensions rows
-            sums[r["cluster"]][r["d"]] += r["x"]
-            count[r["cluster"]] += r["n"] if r["d"] == 0 else 0
+        changes = found.filter("row is null").groupBy("cluster").agg(
+            F.sum("count").alias("n"), F.array(*(F.sum(F.get("sums", d)) for d in range(dimensions))).alias("sums"))
+        for r in changes.collect():  # at most one row a centroid
+            count[r["cluster"]] += r["n"]
+            sums[r["cluster"]] = [a + b for a, b in zip(sums[r["cluster"]], r["sums"])]
         centroids = np.array([[x // n for x in s] if n else c.tolist() for c, s, n in zip(centroids, sums, count)], dtype=np.int64)
         va = seen.filter("not fetch").select("row", "cells", "cluster").unionByName(found.filter("row is not null").select("row", "cells", "cluster"))
     raise AssertionError("the last round returns")
