@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchloom.llm.common import materialise, rows_of
+from watchloom.llm.common import materialise, parts, rows_of
 
 TERM = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 UNIT = 1_000_000_000
@@ -48,51 +48,72 @@ MOST_TERMS = 4096
 #: Indicator rows of one side of a product.
 _ROWS = 2048
 #: Entries a task counts before it hands them on.
-_HELD = 400_000
+_HELD = 600_000
 _LONG = 1 << 22
 
 
-def _terms(text: bytes) -> Counter:
-    if len(text) > _LONG:
-        return Counter(m[0] for m in TERM.finditer(text.lower()))
-    return Counter(TERM.findall(text.lower()))
+def _terms(text: bytes) -> Iterator[bytes]:
+    low = text.lower()
+    return (m[0] for m in TERM.finditer(low)) if len(low) > _LONG else TERM.findall(low)
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents; the empty term stands for the group itself."""
+def _by_term(lang: str, held: dict[str, tuple[Counter, Counter]]) -> pa.RecordBatch:
+    """One row a term: its counts in the sources of ``held``."""
+    sizes = [len(docs) for _, docs in held.values()]
+    terms = pa.concat_arrays([pa.array(list(docs), pa.binary()) for _, docs in held.values()]).cast(pa.string()).dictionary_encode()
+    n = np.concatenate([np.fromiter(map(n.__getitem__, docs), np.int64, len(docs)) for n, docs in held.values()])
+    docs = np.concatenate([np.fromiter(docs.values(), np.int64, len(docs)) for _, docs in held.values()])
+    source = pa.array(list(held), pa.string()).take(pa.array(np.repeat(np.arange(len(held)), sizes)))
+    of = terms.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(of, kind="stable")
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(terms.dictionary)))])
+    cells = pa.StructArray.from_arrays([source.take(pa.array(order)), pa.array(n[order]), pa.array(docs[order])], ["source", "n", "docs"])
+    per_term = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), cells)
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(per_term), pa.string()), terms.dictionary, per_term], ["lang", "term", "cells"])
+
+
+def term_counts(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
+    """(lang, source, term, n, lang_n, first): occurrences of every term kept in its language.
+
+    A term is kept if it is in at least ``least`` documents of the language; ``first`` marks one row of each.
+    The empty term stands for the group itself. Tasks count first and send one row a term, so each term's counts
+    meet in one place, at most as many as there are tasks and sources.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (n, docs_of) in held.items():
-                terms = list(docs_of)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * len(terms)), pa.array([source] * len(terms)), pa.array(terms, pa.binary()).cast(pa.string()),
-                    pa.array([n[t] for t in terms], pa.int64()), pa.array([docs_of[t] for t in terms], pa.int64())],
-                    ["lang", "source", "term", "n", "docs"])
-            held.clear()
-
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held: dict[str, dict[str, tuple[Counter, Counter]]] = {}
         size = 0
         for langs, sources, texts in rows_of(batches, "lang", "source", "text"):
             for lang, source, text in zip(langs, sources, texts):
-                n, docs_of = held.setdefault((lang, source), (Counter(), Counter()))
-                before = len(docs_of)
+                n, docs_of = held.setdefault(lang, {}).setdefault(source, (Counter({b"": 0}), Counter()))
+                before = len(n)
                 found = _terms(text)
-                n.update(found)
-                docs_of.update(found.keys())
+                if isinstance(found, list):
+                    n.update(found)
+                    docs_of.update(set(found))
+                else:
+                    once = Counter(found)
+                    n.update(once)
+                    docs_of.update(once.keys())
                 docs_of[b""] += 1
-                size += len(docs_of) - before
-                if size > _HELD:
-                    yield from out()
-                    size = 0
-        yield from out()
+                size += len(n) - before
+            if size > _HELD:
+                yield from (_by_term(lang, of) for lang, of in held.items())
+                held, size = {}, 0
+        yield from (_by_term(lang, of) for lang, of in held.items())
 
     def filled(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
 
     rows = docs.select(filled("lang"), filled("source"), filled("text")).withColumn("text", F.col("text").cast("binary"))
-    partial = rows.mapInArrow(run, "lang string, source string, term string, n long, docs long")
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    partial = rows.mapInArrow(run, "lang string, term string, cells array<struct<source:string,n:long,docs:long>>")
+    met = partial.repartition(parts(docs.sparkSession), "lang", "term").select("lang", "term", F.explode("cells").alias("c"))
+    cells = met.groupBy("lang", "term", "c.source").agg(F.sum("c.n").alias("n"), F.sum("c.docs").alias("docs"))
+    of_term = Window.partitionBy("lang", "term")
+    marked = cells.select(
+        "*", F.sum("n").over(of_term).alias("lang_n"), F.sum("docs").over(of_term).alias("lang_docs"),
+        (F.min("source").over(of_term) == F.col("source")).alias("first"))
+    return marked.filter((F.col("lang_docs") >= least) | (F.col("term") == "")).select("lang", "source", "term", "n", "lang_n", "first")
 
 
 def share(n: Column, total: Column, kept: Column) -> Column:
@@ -106,23 +127,15 @@ def price(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def kept_terms(counts: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
-    """(lang, term, n): terms in at least ``least`` documents of the language."""
-    words = counts.filter("term <> ''").groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    return words.filter(F.col("docs") >= least).select("lang", "term", "n")
-
-
-def groups(counts: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, total, kept, p0, lang_total, blocks, tile, tiles): one row per occurring group."""
-    of_lang = kept.groupBy("lang").agg(F.sum("n").alias("lang_total"), F.count("*").alias("kept"))
-    sources = counts.filter("term = ''").select("lang", "source")
-    totals = counts.join(kept.select("lang", "term"), ["lang", "term"], "left_semi").groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    many = sources.groupBy("lang").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    zero = F.lit(0).cast("long")
-    return sources.join(totals, ["lang", "source"], "left").join(of_lang, "lang", "left").join(many, "lang").select(
-        "lang", "source", F.coalesce("total", zero).alias("total"), F.coalesce("kept", zero).alias("kept"),
-        F.coalesce("lang_total", zero).alias("lang_total"), "tiles").select(
-        "*", share(zero, F.col("total"), F.col("kept")).alias("p0"),
+def groups(counts: DataFrame) -> DataFrame:
+    """(lang, source, total, kept, lang_total, tiles, p0, blocks, tile): one row per occurring group."""
+    word = F.col("term") != ""
+    of_source = counts.groupBy("lang", "source").agg(
+        F.sum("n").alias("total"), F.count_if(word & F.col("first")).alias("firsts"))
+    of_lang = of_source.groupBy("lang").agg(
+        F.sum("total").alias("lang_total"), F.sum("firsts").alias("kept"), F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    return of_source.drop("firsts").join(of_lang, "lang").select(
+        "*", share(F.lit(0).cast("long"), F.col("total"), F.col("kept")).alias("p0"),
         F.greatest(F.lit(1), F.ceil(F.col("kept") / TERMS)).cast("int").alias("blocks"),
         F.pmod(F.xxhash64("source"), F.col("tiles")).cast("int").alias("tile"))
 
@@ -160,7 +173,7 @@ def joint_prices(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nd
     return forth, back
 
 
-def pair_values(counts: DataFrame, kept: DataFrame, of: DataFrame) -> DataFrame:
+def pair_values(counts: DataFrame, of: DataFrame) -> DataFrame:
     """(lang, source, item, value): each source against each other one of its language, over all kept terms."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -197,7 +210,7 @@ def pair_values(counts: DataFrame, kept: DataFrame, of: DataFrame) -> DataFrame:
         return other.select(
             "lang", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "block", "source", "tile", "term", "p")
 
-    wide = counts.filter("term <> ''").join(kept.select("lang", "term"), ["lang", "term"], "left_semi").join(of, ["lang", "source"])
+    wide = counts.filter("term <> ''").join(of, ["lang", "source"])
     cells = wide.select(
         "lang", "source", "tile", "tiles", "term", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block"),
         share(F.col("n"), F.col("total"), F.col("kept")).alias("p"))
@@ -211,9 +224,9 @@ def pair_values(counts: DataFrame, kept: DataFrame, of: DataFrame) -> DataFrame:
     return summed.join(kept_of, "lang").select("lang", "source", "item", (F.col("over") + F.col("kept") * F.col("empty")).alias("value"))
 
 
-def term_values(counts: DataFrame, kept: DataFrame, of: DataFrame) -> DataFrame:
+def term_values(counts: DataFrame, of: DataFrame) -> DataFrame:
     """(lang, source, item, value): terms that a source uses with a larger share than its language."""
-    cells = counts.filter("term <> ''").join(kept.withColumnRenamed("n", "lang_n"), ["lang", "term"]).join(of, ["lang", "source"])
+    cells = counts.filter("n > 0").join(of, ["lang", "source"])
     shares = cells.select(
         "lang", "source", F.col("term").alias("item"), share(F.col("n"), F.col("total"), F.col("kept")).alias("p"),
         share(F.col("lang_n"), F.col("lang_total"), F.col("kept")).alias("q"))
@@ -223,11 +236,10 @@ def term_values(counts: DataFrame, kept: DataFrame, of: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, top_terms: int = TOP_TERMS) -> DataFrame:
     """(lang, source, part, item, value, rank): how far each source's language is from every other source's, and by which terms."""
     counts = materialise(term_counts(docs), "divergence-counts")
-    kept = materialise(kept_terms(counts), "divergence-terms")
-    of = materialise(groups(counts, kept), "divergence-groups")
+    of = materialise(groups(counts), "divergence-groups")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     out = None
-    for part, rows in (("pair", pair_values(counts, kept, of)), ("term", term_values(counts, kept, of))):
+    for part, rows in (("pair", pair_values(counts, of)), ("term", term_values(counts, of))):
         ranked = rows.withColumn("rank", F.row_number().over(order))
         if part == "term":
             ranked = ranked.filter(F.col("rank") <= top_terms)
