@@ -16,11 +16,12 @@ from watchloom.operators.isolation_forest import analyst_features
 from watchloom.plans.assessment import assess
 from watchloom.plans.star import Star, star
 from watchloom.session import materialise, prepare_session, scratch_path
-from watchloom.sources import bundle, export
+from watchloom.sources import bundle, export, store
 from watchloom.sources.coerce import coerce_table, to_list, to_severity, to_timestamp
+from watchloom.sources.conform import conform
 from watchloom.sources.csv_scan import ROW_ID
 from watchloom.sources.mapping import map_columns
-from watchloom.sources.tables import read_table
+from watchloom.sources.tables import load_tables, read_table
 from watchloom.sources.validate import drop_duplicates_keep_first, prepare
 
 KEY = ["detector_id", "entity_id", "target_id", "severity"]
@@ -418,11 +419,10 @@ def dq_orphan_alerts(s: Star) -> DataFrame:
 def upsert_entity(s: Star) -> DataFrame:
     """A store after one entity was submitted again with all its alerts re-opened."""
     path = scratch_path(s.spark, "store")
-    alerts = s.tables().alerts.select("alert_id", "category", "severity", "created_ts", "status", "entity_id")
-    bundle.write_store(alerts, path)
-    again = alerts.filter("entity_id = 'ENT-08'").withColumn("status", F.lit("Reopened"))
-    bundle.upsert_entity(again, path, "ENT-08")
-    return bundle.read_store(s.spark, path, schemas.ALERT).select("alert_id", "entity_id", "status")
+    store.commit(s.spark, path, {"alerts": s.tables().alerts})
+    again = s.tables().alerts.filter("entity_id = 'ENT-08'").withColumn("status", F.lit("Reopened"))
+    bundle.upsert_entity(again, path, "alerts", "ENT-08")
+    return store.snapshot(s.spark, path, "alerts").select("alert_id", "entity_id", "status")
 
 
 @query
@@ -433,32 +433,88 @@ def append_validated(s: Star) -> DataFrame:
     return s.spark.read.parquet(path).select("alert_id", "entity_id", "severity", "closed_ts")
 
 
+def sent_as_json(s: Star) -> str:
+    """Every row of five tables in JSON documents; documents of alerts name their entity again."""
+    names, path = ("entities", "assets", "alerts", "cases", "events"), scratch_path(s.spark, "json")
+    rows = {n: conform(getattr(s.tables(), n), schemas.TABLES[n]) for n in names}
+    rows["assets"] = rows["assets"].withColumn("environment_zone", F.lit("OT"))  # required, and not in the derived table
+    one = {n: F.struct(*(F.col(c).alias(schemas.FILE_ALIASES.get(c, c)) for c in schemas.TABLES[n].fieldNames())) for n in names}
+    named = rows["entities"].select("entity_id", F.array(one["entities"]).alias("entities"))
+    docs = rows["alerts"].select("entity_id", F.array(one["alerts"]).alias("alerts")).join(named, "entity_id").drop("entity_id")
+    for n in names:
+        if n != "alerts":
+            docs = docs.unionByName(rows[n].select(F.array(one[n]).alias(n)), allowMissingColumns=True)
+    docs.write.json(path)
+    return path
+
+
 @query
 def json_bundle(s: Star) -> DataFrame:
-    """Alerts sent as JSON documents, ingested and read back."""
-    src, out = scratch_path(s.spark, "json"), scratch_path(s.spark, "json-store")
-    docs = s.tables().alerts.select(F.array(F.struct(
-        "alert_id", "entity_id", "category", "severity", "created_ts", "closed_ts", "status")).alias("alerts"))
-    docs.write.json(src)
-    bundle.ingest_json(s.spark, src, out, lines=True)
-    return s.spark.read.parquet(f"{out}/alerts.parquet").select(
-        "alert_id", "entity_id", "severity", "created_ts", "closed_ts")
+    """Five tables sent as JSON documents; the entities are sent twice. Rows per table and entity, as the assessment reads them."""
+    base = scratch_path(s.spark, "json-store")
+    again = scratch_path(s.spark, "json")
+    s.tables().entities.select(F.array(F.struct(*schemas.ENTITY.fieldNames())).alias("entities")).write.json(again)
+    for path in (sent_as_json(s), again):
+        bundle.ingest_json(s.spark, path, f"{base}/real", lines=True)
+    t = load_tables(s.spark, base)
+    checks = {"entities": "sector", "assets": "monitored_flag", "alerts": "closed_ts", "cases": "size(alert_ids)", "events": "ts"}
+    parts = [getattr(t, n).groupBy(F.lit(n).alias("table"), "entity_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(F.expr(c)).alias("filled")) for n, c in checks.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def sent_as_csv(s: Star, where: str = "true") -> list[str]:
+    """Alerts, cases and events of the orders in ``where`` as CSV files of three delimiters."""
+    base, t = scratch_path(s.spark, "csv"), s.tables()
+    cases = t.cases.filter(where)
+    t.alerts.filter(where).drop("k", "nk", "entity_id").write.option("header", True).option("sep", ";").csv(f"{base}/alerts")
+    cases.drop("k", "rule_id").withColumn("alert_ids", F.concat_ws("|", "alert_ids")).write.option("header", True).csv(f"{base}/cases")
+    t.events.join(cases.select("case_id"), "case_id", "left_semi").write.option("header", True).option("sep", "\t").csv(f"{base}/events")
+    return [f"{base}/{n}" for n in ("alerts", "cases", "events")]
 
 
 @query
 def csv_bundle(s: Star) -> DataFrame:
     """Alerts, cases and events sent as CSV: one report row per file."""
-    base, t = scratch_path(s.spark, "csv"), s.tables()
-    t.alerts.drop("k", "nk", "entity_id").write.option("header", True).option("sep", ";").csv(f"{base}/alerts")
-    t.cases.drop("k", "rule_id").withColumn("alert_ids", F.concat_ws("|", "alert_ids")).write.option(
-        "header", True).csv(f"{base}/cases")
-    t.events.write.option("header", True).option("sep", "\t").csv(f"{base}/events")
-    prepared = bundle.prepare_csv_bundle(
-        s.spark, "ENT-SUB", f"{base}/alerts", f"{base}/cases", f"{base}/events")
+    prepared = bundle.prepare_csv_bundle(s.spark, "ENT-SUB", *sent_as_csv(s))
     out = [p.report() for p in prepared.values()]
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+PROFILE = {"sector": "Power", "size_tier": "Tier 1", "region": "Region-1", "soc_model": "MSSP"}
+
+
+@query
+def csv_bundle_store(s: Star) -> DataFrame:
+    """Rows in the store after two entities submitted CSV bundles, one of them twice: the second time replaces the first.
+
+    All accepted rows are read back the way an assessment reads them.
+    """
+    base = scratch_path(s.spark, "csv-store")
+    every = sent_as_csv(s)
+    for entity, files in (("007", sent_as_csv(s, "k % 3 = 0")), ("ENT-9", every), ("007", every)):
+        bundle.ingest_csv_bundle(s.spark, entity, *files, output_dir=f"{base}/real", profile=PROFILE)
+    t = load_tables(s.spark, base)
+    ids = {"entities": "sector", "alerts": "alert_id", "cases": "concat_ws('|', case_id, array_join(alert_ids, '|'))",
+           "events": "concat_ws('|', case_id, cast(unix_micros(cast(ts as timestamp)) as string), event_type)"}
+    parts = [getattr(t, n).selectExpr(f"'{n}' as table", "entity_id", f"{e} as item") for n, e in ids.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query
+def csv_to_findings(s: Star) -> DataFrame:
+    """From submitted CSV files to findings: bundle, store, load, assessment."""
+    base = scratch_path(s.spark, "csv-findings")
+    bundle.ingest_csv_bundle(s.spark, "007", *sent_as_csv(s), output_dir=f"{base}/real", profile=PROFILE)
+    return assess(load_tables(s.spark, base)).select(*KEY)
+
+
 @query
 def export_manifest(s: Star) -> DataFrame:
     """Every exported file with its size and hash."""

@@ -54,7 +54,7 @@ select 'CAS-' || k::varchar case_id, entity_id,
     when severity >= 3 and k % 41 = 3 then created_ts + to_minutes(k % 10 + 1) + to_seconds(10)
     else closed_ts end closed_ts,
   severity, analyst_id as owner,
-  case when nk = 19 then 'Custom Entity Exception' else 'Investigated' end root_cause, k, rule_id
+  case when nk = 19 then 'Site specific cause' else 'Investigated' end root_cause, k, rule_id
 from soc_alerts where exists (select 1 from lineitem where l_orderkey = k)""",
     "soc_events": """
 select case_id, entity_id, opened_ts + to_seconds((l_partkey * 17) % 3600) ts,
@@ -69,12 +69,12 @@ select case_id, entity_id, opened_ts + to_seconds(20), 'status', owner
 from soc_cases where owner = 'A-09' and rule_id <> 'RULE-007'""",
     "soc_notes": """
 select case_id, entity_id, opened_ts + to_minutes(5) ts,
-  case when owner = 'A-04' then 'Reviewed logs. Closing as false positive.'
+  case when owner = 'A-04' then 'Template note: nothing found, closed.'
     else 'Analyst ' || owner || ' investigated ' || rule_id || ' in ' || case_id end as text
 from soc_cases""",
     "soc_escalations": """
 select case_id, alert_ids[1] alert_id, entity_id, opened_ts + to_minutes(5) ts, 'Tier 1' from_tier,
-  'Tier 2' to_tier, 'L2-Analyst' recipient, 'Escalated' outcome
+  'Tier 2' to_tier, 'Desk-2' recipient, 'Escalated' outcome
 from soc_cases where severity >= 4 and k % 23 <> 1""",
     "soc_links": "select case_id, entity_id, unnest(alert_ids) alert_id from soc_cases",
 }
@@ -299,7 +299,7 @@ union all select 'NS-03', alert_id from soc_alerts where severity >= 4
 union all select * from (values ('EG-04', 'A-04'), ('EG-05', 'RULE-007'), ('EG-06', 'A-07'), ('NS-02', 'Phishing'),
   ('NS-04', 'ENT-07'), ('NS-04', 'ENT-09'), ('NS-05', 'Database'), ('NS-06', 'ENT-07'), ('NS-06', 'ENT-09'),
   ('EX-01', 'A-05'), ('EX-02', 'A-09'), ('EX-03', 'A-03'), ('EX-04', 'ENT-15'), ('EX-05', 'Malware_Sev3'),
-  ('EX-06', 'Custom Entity Exception'), ('EX-07', 'ENT-13'), ('EX-08', 'A-10')) t(a, b)"""
+  ('EX-06', 'Site specific cause'), ('EX-07', 'ENT-13'), ('EX-08', 'A-10')) t(a, b)"""
 
 TARGETED = "Targeted (High Attention Index & Severity)"
 EXPLORATION = "Exploration (Random Baseline)"
@@ -522,7 +522,15 @@ select count(*) orphans from soc_alerts where asset_id not in (select asset_id f
     "upsert_entity": """
 select alert_id, entity_id, case when entity_id = 'ENT-08' then 'Reopened' else status end status from soc_alerts""",
     "append_validated": "select alert_id, entity_id, severity, closed_ts from soc_alerts",
-    "json_bundle": "select alert_id, entity_id, severity, created_ts, closed_ts from soc_alerts",
+    "json_bundle": "\nunion all ".join(
+        f"""select '{t}' "table", entity_id, count(*) "rows", count({c}) filled from soc_{t} group by all"""
+        for t, c in {"entities": "sector", "assets": "monitored_flag", "alerts": "closed_ts", "cases": "alert_ids", "events": "ts"}.items()),
+    "csv_bundle_store": """
+select t.* from (select unnest(['007', 'ENT-9']) entity_id) e, lateral (
+  select 'entities' "table", e.entity_id, 'Power' item
+  union all select 'alerts', e.entity_id, alert_id from soc_alerts
+  union all select 'cases', e.entity_id, case_id || '|' || array_to_string(alert_ids, '|') from soc_cases
+  union all select 'events', e.entity_id, case_id || '|' || epoch_us(ts) || '|' || event_type from soc_events) t""",
     "csv_bundle": """
 select 'alerts' "table", n rows_in, n rows_ok, 0::bigint rows_rejected, 0::bigint duplicates_dropped,
   round(100 * (0.6::double + 0.4::double * (9.0 + round(closed, 3)) / 10), 1) quality_score
@@ -537,6 +545,13 @@ select 'events', count(*), count(*), 0, 0, 100.0 from soc_events""",
         for t in ("entities", "assets", "alerts", "cases", "events", "escalations", "notes")),
 }
 
+# The tables as one entity submits them: three of the seven, all rows its own.
+SUBMITTED = {
+    "soc_entities": "select '007' entity_id, 'Power' sector, 'Tier 1' size_tier, 'Region-1' region, 'MSSP' soc_model",
+    "soc_alerts": f"select * replace ('007' as entity_id) from ({FIXTURE['soc_alerts']})",
+    **{name: f"select * from ({FIXTURE[name]}) where false" for name in ("soc_assets", "soc_notes", "soc_escalations")},
+}
+
 # Queries that sample: name -> (budget, replicates, draws, select).
 SAMPLED: dict[str, tuple[dict[str, str], str]] = {
     "weighted_draws": (_samples(250, draws=200), "select draw::int draw, entity_id from draws"),
@@ -590,4 +605,5 @@ def _statement(body: str, extra: dict[str, str] | None = None) -> str:
 def oracle_sql() -> dict[str, str]:
     out = {name: _statement("\n" + body) for name, body in SELECTS.items()}
     out.update({name: _statement("\n" + body, extra) for name, (extra, body) in SAMPLED.items()})
+    out["csv_to_findings"] = _statement("\nselect * from findings", SUBMITTED)
     return out

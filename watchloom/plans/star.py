@@ -120,7 +120,7 @@ class Star:
             f" when severity >= 3 and k % 41 = 3 then {opened} + {_seconds('10')}"
             " else closed_ts end as closed_ts",
             "severity", "analyst_id as owner",
-            "case when nk = 19 then 'Custom Entity Exception' else 'Investigated' end as root_cause",
+            "case when nk = 19 then 'Site specific cause' else 'Investigated' end as root_cause",
             "k", "rule_id",
         )
 
@@ -149,7 +149,7 @@ class Star:
     def derive_notes(self) -> DataFrame:
         return self.land("cases").selectExpr(
             "case_id", "entity_id", f"opened_ts + {_minutes('5')} as ts",
-            "case when owner = 'A-04' then 'Reviewed logs. Closing as false positive.'"
+            "case when owner = 'A-04' then 'Template note: nothing found, closed.'"
             " else 'Analyst ' || owner || ' investigated ' || rule_id || ' in ' || case_id end as text",
         )
 
@@ -157,7 +157,7 @@ class Star:
         return self.land("cases").filter("severity >= 4 and k % 23 <> 1").selectExpr(
             "case_id", "element_at(alert_ids, 1) as alert_id", "entity_id",
             f"opened_ts + {_minutes('5')} as ts", "'Tier 1' as from_tier", "'Tier 2' as to_tier",
-            "'L2-Analyst' as recipient", "'Escalated' as outcome",
+            "'Desk-2' as recipient", "'Escalated' as outcome",
         )
 
     def tables(self) -> SocTables:
@@ -194,7 +194,7 @@ class Star:
             ("NS-06", "peer_volume", 7, None), ("NS-06", "peer_volume", 9, None),
             ("EX-01", "analyst", None, "A-05"), ("EX-02", "analyst", None, "A-09"),
             ("EX-03", "analyst", None, "A-03"), ("EX-04", "volume", 15, None),
-            ("EX-05", "grid", 17, "Malware_Sev3"), ("EX-06", "root_cause", 19, "Custom Entity Exception"),
+            ("EX-05", "grid", 17, "Malware_Sev3"), ("EX-06", "root_cause", 19, "Site specific cause"),
             ("EX-07", "volume_series", 13, None), ("EX-08", "analyst", None, "A-10"),
         ]
         planted = [

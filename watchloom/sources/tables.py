@@ -6,31 +6,16 @@ from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchloom import schemas
 from watchloom.session import materialise
+from watchloom.sources import store
+from watchloom.sources.conform import conform
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of ``schema`` in order: cast, typed null where absent, extras dropped."""
-    cols = []
-    for f in schema.fields:
-        name = f.name
-        if name not in df.columns and schemas.FILE_ALIASES.get(name) in df.columns:
-            name = schemas.FILE_ALIASES[name]
-        if name in df.columns:
-            col = F.col(f"`{name}`").cast(f.dataType)
-        else:
-            col = F.lit(None).cast(f.dataType)
-        if f.name in schemas.FIELD_DEFAULTS:
-            col = F.coalesce(col, F.lit(schemas.FIELD_DEFAULTS[f.name]))
-        cols.append(col.alias(f.name))
-    return df.select(*cols)
-
-
-def read_table(spark: SparkSession, name: str, paths: Iterable[str]) -> DataFrame:
-    """One table over several Parquet locations, united by column name.
+def read_table(spark: SparkSession, name: str, paths: Iterable[str], stores: Iterable[str] = ()) -> DataFrame:
+    """One table over several Parquet locations and submission stores, united by column name.
 
     Each location keeps the columns it has (the footer schema, not inference over
     data); a location without files is skipped, and with none left the result is
@@ -44,6 +29,7 @@ def read_table(spark: SparkSession, name: str, paths: Iterable[str]) -> DataFram
         except AnalysisException as err:
             if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
+    parts += [part for part in (store.snapshot(spark, base, name) for base in stores) if part is not None]
     if not parts:
         return spark.createDataFrame([], schema)
     out = parts[0]
@@ -98,12 +84,9 @@ class SocTables:
 
 
 def load_tables(spark: SparkSession, base_dir: str, sources=("synthetic", "real")) -> SocTables:
-    """All seven tables from ``base_dir/<source>/<table>.parquet``."""
-    frames = {
-        name: read_table(spark, name, [f"{base_dir}/{s}/{name}.parquet" for s in sources])
-        for name in schemas.TABLES
-    }
-    return SocTables(**frames)
+    """All seven tables of every source: ``<base_dir>/<source>/<table>.parquet`` and what was submitted to the source."""
+    roots = [f"{base_dir}/{s}" for s in sources]
+    return SocTables(**{name: read_table(spark, name, [f"{r}/{name}.parquet" for r in roots], roots) for name in schemas.TABLES})
 
 
 def register_views(tables: SocTables) -> list[str]:
