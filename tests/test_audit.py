@@ -83,28 +83,62 @@ def test_tampering(spark, tmp_path, case, broken):
 
 def test_append(spark, tmp_path):
     path = str(tmp_path / "log")
-    assert tuple(audit.verify_ledger(spark, path).first()) == (0, True, None)
+    assert tuple(audit.verify_ledger(spark, path).first()) == (0, True, None, 0, None)
     first = audit.append_event(spark, path, "ASSESSMENT_RUN", "Generated 3 findings.", "2024-01-01T00:00:00")
     second = audit.append_event(spark, path, "DATA_IMPORT", "naïve", "2024-01-01T00:00:01")
     assert first != second and check(spark, path) == (True, None)
     assert audit.read_ledger(spark, path).count() == 3
-    assert tuple(audit.verify_ledger(spark, path).first()) == (3, True, None)
+    assert tuple(audit.verify_ledger(spark, path).first()) == (3, True, None, 0, None)
 
 
-def test_build_segments(spark):
+@pytest.fixture(scope="module")
+def events(spark):
     t0 = dt.datetime(2024, 1, 1)
-    rows = [("u", i, t0 + dt.timedelta(minutes=7 * i), "E", f"d{i}") for i in range(20)] + [("v", 99, t0, "E", "q")]
-    events = spark.createDataFrame(rows, "key string, id int, ts timestamp_ntz, event_type string, data string").withColumn(
+    rows = [("u", i, t0 + dt.timedelta(minutes=7 * (i // 2)), "E", f"d{i} é") for i in range(1200)] + [("v", 99, t0, "E", 'q"')] + [
+        (None, i, t0, None, None) for i in range(3)]
+    return spark.createDataFrame(rows, "key string, id int, ts timestamp_ntz, event_type string, data string").withColumn(
         "timestamp", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
-    blocks = audit.build_chains(events, "key", ["ts", "id"], F.to_date("ts"), segment=8)
-    got = blocks.orderBy("key", "segment", "index").collect()
-    assert [(r["key"], r["segment"], r["index"]) for r in got] == [("u", i // 8, i % 8) for i in range(20)] + [("v", 0, 0)]
+
+
+@pytest.mark.parametrize("size", [100, 500, 100_000])
+def test_chains_are_one_sequence_per_key(spark, events, size):
+    """Equal to a sequential fold, however the chain is cut into rounds."""
+    blocks = audit.build_chains(events.repartition(5), "key", ["ts", "id"], F.to_date("ts"), slice_size=size)
+    got = blocks.orderBy(F.col("key").desc_nulls_last(), "index").collect()
+    assert [(r["key"], r["index"]) for r in got] == [("v", 0)] + [("u", i) for i in range(1200)]
     prev = None
     for r in got:
         block = {k: r[k] for k in ("index", "timestamp", "event_type", "data", "prev_hash")}
         assert r["prev_hash"] == ("0" * 64 if r["index"] == 0 else prev)
         assert digest(block) == r["hash"]
         prev = r["hash"]
-    assert [r["data"] for r in got][:20] == [f"d{i}" for i in range(20)]
-    checked = audit.verify_chain(blocks.withColumn("computed", audit.block_hash()), ["key", "segment"])
-    assert checked.filter("valid").count() == 4
+    assert [r["data"] for r in got][1:1201] == [f"d{i} é" for i in range(1200)]
+
+
+def test_chains_of_no_events(spark, events):
+    assert audit.build_chains(events.limit(0), "key", ["ts", "id"], F.to_date("ts")).collect() == []
+
+
+def test_missing_stretch_is_named(spark, events):
+    blocks = audit.build_chains(events.filter("key is not null"), "key", ["ts", "id"], F.to_date("ts"))
+    cut = blocks.filter("not (key = 'u' and index between 300 and 349)").withColumn("computed", audit.block_hash())
+    got = {r["key"]: tuple(r)[1:] for r in audit.verify_chain(cut, ["key"]).collect()}
+    assert got == {"u": (1150, False, 350, 50, 300), "v": (1, True, None, 0, None)}
+
+
+def test_seal_finds_what_verifies_by_itself(spark, events):
+    some = events.filter("key is not null")
+    build = lambda e: audit.build_chains(e, "key", ["ts", "id"], F.to_date("ts"))
+    blocks = build(some)
+    sealed = audit.seal(blocks, ["key"], fan_out=8)
+    assert sealed.filter("node = 0 and level = 4").count() == 2 and sealed.agg(F.max("level")).first()[0] == 4
+    assert audit.against_seal(blocks, sealed, ["key"], 8).collect() == []
+    longer = build(some.unionByName(some.filter("id = 1199").withColumn("ts", F.expr("ts + interval 9 days"))))
+    assert longer.count() == 1202 and audit.against_seal(longer, sealed, ["key"], 8).collect() == []
+    anew = build(some.filter("id not between 800 and 849"))
+    assert audit.verify_chain(anew.withColumn("computed", audit.block_hash()), ["key"]).filter("not valid or missing > 0").count() == 0
+    assert [tuple(r) for r in audit.against_seal(anew, sealed, ["key"], 8).collect()] == [("u", 1200, 1150, 800, 1199, 50)]
+    swapped = blocks.withColumn("hash", F.when(F.col("index") == 77, F.lit("0" * 64)).otherwise(F.col("hash")))
+    assert [tuple(r) for r in audit.against_seal(swapped, sealed, ["key"], 8).collect()] == [("u", 1200, 1200, 72, 79, 0)]
+    gone = audit.against_seal(blocks.filter("key = 'u'"), sealed, ["key"], 8).collect()
+    assert [tuple(r) for r in gone] == [("v", 1, 0, 0, 0, 1)]

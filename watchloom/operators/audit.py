@@ -1,7 +1,9 @@
 """Hash-chained audit log: build, append, verify, list.
 
 A block is hashed as its JSON text with sorted keys and without the hash itself, so
-changing any field, or dropping a block, shows.
+changing any field, or dropping a block, shows. A chain is one sequence however long it
+is; chains are independent of each other. A seal (a tree of hashes over a chain) kept
+elsewhere also shows a stretch that was taken out of a chain linked anew.
 """
 
 from __future__ import annotations
@@ -11,10 +13,12 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from watchloom.functions.ordering import position_within
 from watchloom.schemas import BLOCK
+from watchloom.session import scratch_path
 
 # Fixed value: prev_hash of the first block of a chain.
 GENESIS_PREV = "0" * 64
@@ -71,7 +75,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def verify_blocks(blocks: DataFrame, keys: list[str] | None = None, slot_size: int = 65_536) -> DataFrame:
-    """Every block with ``linked``, ``intact`` and ``valid``.
+    """Every block with ``linked``, ``intact``, ``valid`` and ``gap``: how many indexes before it are missing.
 
     ``blocks`` carries ``computed``; predecessors are found by an equi-join on the
     position in the chain, so a long chain is checked in parallel.
@@ -80,24 +84,30 @@ def verify_blocks(blocks: DataFrame, keys: list[str] | None = None, slot_size: i
     placed = position_within(
         blocks, keys, F.floor(F.col("index") / slot_size).cast("long"), [F.col("index"), F.col("hash")], "position"
     )
-    before = placed.select(*keys, (F.col("position") + 1).alias("position"), F.col("hash").alias("before"))
+    before = placed.select(*keys, (F.col("position") + 1).alias("position"), F.col("hash").alias("before"), F.col("index").alias("at"))
     joined = placed.join(before, [*keys, "position"], "left")
     linked = F.col("prev_hash").eqNullSafe(F.coalesce("before", F.lit(GENESIS_PREV)))
     return (
         joined.withColumn("linked", linked)
         .withColumn("intact", F.col("hash").eqNullSafe(F.col("computed")))
         .withColumn("valid", F.col("linked") & F.col("intact"))
-        .drop("before", "position")
+        .withColumn("gap", F.greatest(F.col("index") - F.coalesce("at", F.lit(-1)) - 1, F.lit(0)))
+        .drop("before", "at", "position")
     )
 
 
 def verify_chain(blocks: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """(keys, blocks, valid, first_broken): valid when no block is broken; an empty log is valid."""
+    """(keys, blocks, valid, first_broken, missing, first_missing): valid when no block is broken; an empty log is valid.
+
+    ``missing`` counts the indexes that no block has, up to the last block.
+    """
     checked = verify_blocks(blocks, keys)
     return checked.groupBy(*(keys or [])).agg(
         F.count(F.lit(1)).alias("blocks"),
         F.coalesce(F.min("valid"), F.lit(True)).alias("valid"),
         F.min(F.when(~F.col("valid"), F.col("index"))).alias("first_broken"),
+        F.coalesce(F.sum("gap"), F.lit(0)).alias("missing"),
+        F.min(F.when(F.col("gap") > 0, F.col("index") - F.col("gap"))).alias("first_missing"),
     )
 
 
@@ -115,37 +125,124 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def build_chains(events: DataFrame, key: str, order: list[str], slot: Column, segment: int = 256) -> DataFrame:
-    """Blocks for events with (timestamp, event_type, data), chained per key and segment.
+#: Blocks of a chain that one task links.
+SLICE = 65_536
 
-    A chain is sequential by nature, so a key's events are cut into chains of at most
-    ``segment`` blocks, each starting from the genesis value: chains run in parallel
-    and no task folds more than one segment, however many events a key has.
-    ``slot`` is a column that does not decrease along ``order``.
-    """
-    placed = position_within(events, [key], slot, [F.col(c) for c in order], "position")
-    entry = F.struct(
-        F.pmod(F.col("position") - 1, F.lit(segment)).cast("long").alias("index"), "timestamp", "event_type", "data"
-    )
-    chains = (
-        placed.groupBy(key, F.floor((F.col("position") - 1) / segment).cast("long").alias("segment"))
-        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    )
 
-    def link(hashes: Column, e: Column) -> Column:
-        body = block_body(e["index"], e["timestamp"], e["event_type"], json_text(e["data"]), F.element_at(hashes, -1))
-        return F.concat(hashes, F.array(F.sha2(body, 256)))
+def build_chains(events: DataFrame, key: str, order: list[str], slot: Column, slice_size: int = SLICE) -> DataFrame:
+    """(key, index, timestamp, event_type, data, prev_hash, hash): one unbroken chain of blocks per key, for events in ``order``.
 
-    hashes = F.aggregate("entries", F.array(F.lit(GENESIS_PREV)), link)
-    return (
-        chains.withColumn("hashes", hashes)
-        .select(key, "segment", "hashes", F.inline("entries"))
-        .select(
-            key, "segment", "index", "timestamp", "event_type", "data",
-            F.get("hashes", F.col("index").cast("int")).alias("prev_hash"),
-            F.get("hashes", (F.col("index") + 1).cast("int")).alias("hash"),
-        )
-    )
+    A block's hash needs the one before, so a chain is linked in order; what can be in
+    parallel is chains. Events get their index in parallel, then slices of ``slice_size``
+    blocks are linked round by round: round r links slice r of every chain that is so long,
+    a task streams its blocks with one hash in memory, and the last hash of each slice is
+    handed to the next round. A chain with a third of all events therefore takes more rounds,
+    not more memory or disk of one task. Each round is written, so a lost executor costs
+    its tasks of the current round. ``slot`` is a column that does not decrease along ``order``.
+    Events without a key belong to no chain.
+    """
+    spark = events.sparkSession
+    placed = position_within(events.filter(F.col(key).isNotNull()), [key], slot, [F.col(c) for c in order], "position").select(
+        key, (F.col("position") - 1).cast("long").alias("index"), "timestamp", "event_type", "data")
+    entries, linked = scratch_path(spark, "chain-entries"), scratch_path(spark, "chains")
+    placed.withColumn("slice", F.floor(F.col("index") / slice_size).cast("long")).write.partitionBy("slice").parquet(entries)
+    entry = T.StructType([*placed.schema.fields, T.StructField("slice", T.LongType())])
+    block = T.StructType([*placed.schema.fields, T.StructField("prev_hash", T.StringType()), T.StructField("hash", T.StringType())])
+    rows = spark.read.schema(entry).parquet(entries)
+    last = rows.agg(F.max("slice")).first()[0]
+    for step in range(0 if last is None else last + 1):
+        mine = rows.filter(F.col("slice") == step).drop("slice").withColumn("hash", F.lit(None).cast("string"))
+        if step:
+            before = spark.read.schema(block).parquet(f"{linked}/slice={step - 1}")
+            mine = mine.unionByName(before.filter(F.col("index") == step * slice_size - 1).drop("prev_hash"))
+        ordered = mine.repartition(key).sortWithinPartitions(key, "index")
+        ordered.mapInArrow(_linker(key, block), block).write.parquet(f"{linked}/slice={step}")
+    if last is None:
+        return spark.createDataFrame([], block)
+    return spark.read.schema(T.StructType([*block.fields, T.StructField("slice", T.LongType())])).parquet(linked).drop("slice")
+
+
+def _linker(key: str, block: T.StructType):
+    """Links blocks that come chain by chain in order; a row with a hash is the block before the first one."""
+    names = block.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chain, prev = object(), GENESIS_PREV
+        for batch in batches:
+            keep, prevs, hashes = [], [], []
+            columns = (batch.column(c).to_pylist() for c in (key, "index", "timestamp", "event_type", "data", "hash"))
+            for row, (of, index, timestamp, event_type, data, known) in enumerate(zip(*columns)):
+                if of != chain:
+                    chain, prev = of, GENESIS_PREV
+                if known is not None:
+                    prev = known
+                    continue
+                body = {"data": data, "event_type": event_type, "index": index, "prev_hash": prev, "timestamp": timestamp}
+                keep.append(row)
+                prevs.append(prev)
+                prev = hashlib.sha256(json.dumps(body).encode()).hexdigest()
+                hashes.append(prev)
+            taken = batch.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*(taken.column(c) for c in names[:-2]), pa.array(prevs, pa.string()), pa.array(hashes, pa.string())], names)
+
+    return run
+
+
+#: Children of one node of a seal.
+FAN_OUT = 256
+
+
+def seal(blocks: DataFrame, keys: list[str], fan_out: int = FAN_OUT) -> DataFrame:
+    """(keys, level, node, digest, blocks): a tree of hashes over each chain, to be kept apart from the ledger.
+
+    A node hashes the digests of up to ``fan_out`` children, level 1 those of blocks; the top
+    node of a chain stands for all its blocks. Every level is one grouped pass over a
+    ``fan_out``-th of the one below, so no task holds more than a node.
+    """
+    rows = blocks.select(*keys, F.col("index").alias("node"), F.col("hash").alias("digest"), F.lit(1).cast("long").alias("blocks"))
+    longest = blocks.agg(F.max("index")).first()[0]
+    out, level = None, 0
+    while out is None or longest:
+        level += 1
+        child = F.struct("node", "digest")
+        rows = rows.groupBy(*keys, F.floor(F.col("node") / fan_out).cast("long").alias("node")).agg(
+            F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(child)), lambda c: c["digest"]), ""), 256).alias("digest"),
+            F.sum("blocks").alias("blocks"))
+        part = rows.select(*keys, F.lit(level).alias("level"), "node", "digest", "blocks")
+        out = part if out is None else out.unionByName(part)
+        longest = (longest or 0) // fan_out
+    return out
+
+
+def against_seal(blocks: DataFrame, sealed: DataFrame, keys: list[str], fan_out: int = FAN_OUT) -> DataFrame:
+    """(keys, sealed_blocks, blocks, first_changed, last_changed, missing): chains that no longer hold what was sealed.
+
+    Blocks added since do not count. The tops are compared first, then, of the chains whose
+    tops differ, the nodes right over the blocks: the changed stretch is known to within one
+    such node at either end. A chain that was linked anew after a stretch was taken out
+    verifies by itself and is found here.
+    """
+    sizes = sealed.filter("level = 1").groupBy(*keys).agg(F.sum("blocks").alias("sealed_blocks"))
+    mine = blocks.join(sizes, keys).filter("index < sealed_blocks")
+    now = seal(mine.select(*keys, "index", "hash"), keys, fan_out)
+
+    def top(df: DataFrame, name: str) -> DataFrame:
+        """The lowest node that stands alone: further levels come from longer chains."""
+        alone = df.groupBy(*keys, "level").agg(F.count(F.lit(1)).alias("nodes"), F.first("digest").alias("digest")).filter("nodes = 1")
+        return alone.groupBy(*keys).agg(F.min(F.struct("level", "digest")).alias(name))
+
+    changed = top(sealed, "was").join(top(now, "is"), keys, "left").filter("not was <=> is").select(*keys)
+    leaves = [df.filter("level = 1").join(changed, keys, "left_semi").select(*keys, "node", F.col("digest").alias(name), F.col("blocks").alias(f"{name}_blocks"))
+              for name, df in (("was", sealed), ("is", now))]
+    nodes = leaves[0].join(leaves[1], [*keys, "node"], "left").filter("not was <=> is")
+    held = mine.join(changed, keys, "left_semi").groupBy(*keys).agg(F.count_distinct("index").alias("blocks"))
+    found = nodes.groupBy(*keys).agg(
+        (F.min("node") * fan_out).alias("first_changed"),
+        F.max(F.col("node") * fan_out + F.col("was_blocks") - 1).alias("last_changed"))
+    return found.join(sizes, keys).join(held, keys, "left").select(
+        *keys, "sealed_blocks", F.coalesce("blocks", F.lit(0)).alias("blocks"), "first_changed", "last_changed",
+        (F.col("sealed_blocks") - F.coalesce("blocks", F.lit(0))).alias("missing"))
 
 
 def last_block(blocks: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -173,6 +270,8 @@ def append_event(spark: SparkSession, path: str, event_type: str, data: str, tim
     return new["hash"]
 
 
-def ledger(blocks: DataFrame) -> DataFrame:
-    """All blocks, newest first."""
-    return blocks.orderBy(F.desc("index"))
+def ledger(blocks: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """All blocks, newest first; over several chains by time stamp, then by chain."""
+    if not keys:
+        return blocks.orderBy(F.desc("index"))
+    return blocks.orderBy(F.desc("timestamp"), *keys, F.desc("index"))

@@ -239,14 +239,16 @@ def case_event_paths(s: Star) -> DataFrame:
 
 
 def audit_events(s: Star) -> DataFrame:
+    """Events in five chains, long ones: a chain is an account group."""
     return s.raw("events").select(
-        "user_id", "event_id", "ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        "event_type", F.col("props").alias("data"),
+        (F.col("user_id") % 5).alias("chain"), "event_id", "ts",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"), "event_type", F.col("props").alias("data"),
     )
 
 
-def audit_chains(s: Star) -> DataFrame:
-    return audit.build_chains(audit_events(s), "user_id", ["ts", "event_id"], F.to_date("ts"))
+def audit_chains(s: Star, events: DataFrame | None = None) -> DataFrame:
+    """Linked in slices of 1,000 blocks, so that chains go over several rounds."""
+    return audit.build_chains(audit_events(s) if events is None else events, "chain", ["ts", "event_id"], F.to_date("ts"), slice_size=1000)
 
 
 @query
@@ -258,25 +260,41 @@ def audit_block_hash(s: Star) -> DataFrame:
 
 @query
 def audit_chain_build(s: Star) -> DataFrame:
-    return audit_chains(s).select("user_id", "segment", "index", "prev_hash", "hash")
+    return audit_chains(s).select("chain", "index", "prev_hash", "hash")
 
 
 @query
 def audit_verify(s: Star) -> DataFrame:
-    """Chains of which some blocks were altered after hashing."""
+    """Chains of which some blocks were altered after hashing and, in one, a stretch is gone."""
     altered = F.when(F.substring("hash", 1, 2) == "00", F.concat("data", F.lit(" "))).otherwise(F.col("data"))
-    blocks = materialise(audit_chains(s), "chains").withColumn("data", altered)
-    return audit.verify_chain(blocks.withColumn("computed", audit.block_hash()), ["user_id", "segment"])
+    blocks = audit_chains(s).filter("not (chain = 3 and index between 100 and 119)").withColumn("data", altered)
+    return audit.verify_chain(blocks.withColumn("computed", audit.block_hash()), ["chain"])
+
+
+@query
+def audit_seal(s: Star) -> DataFrame:
+    return audit.seal(audit_chains(s), ["chain"])
+
+
+@query
+def audit_removed_stretch(s: Star) -> DataFrame:
+    """A stretch is taken out of two chains and they are linked anew: the chains verify, the seal shows where."""
+    before = audit_chains(s)
+    kept = before.filter("not (chain = 1 and index between 120 and 139) and not (chain = 4 and index > 150)")
+    events = kept.withColumnRenamed("index", "event_id").withColumn("ts", F.col("timestamp").cast("timestamp_ntz"))
+    after = audit_chains(s, events.select("chain", "event_id", "ts", "timestamp", "event_type", "data"))
+    whole = audit.verify_chain(after.withColumn("computed", audit.block_hash()), ["chain"]).select("chain", "valid")
+    return audit.against_seal(after, audit.seal(before, ["chain"]), ["chain"]).join(whole, "chain")
 
 
 @query
 def audit_last_block(s: Star) -> DataFrame:
-    return audit.last_block(audit_chains(s), ["user_id", "segment"]).select("user_id", "segment", "index", "hash")
+    return audit.last_block(audit_chains(s), ["chain"]).select("chain", "index", "hash")
 
 
 @query
 def audit_ledger(s: Star) -> DataFrame:
-    return audit.ledger(audit_chains(s)).select("index", "user_id", "segment", "timestamp", "event_type", "data")
+    return audit.ledger(audit_chains(s), ["chain"]).select("index", "chain", "timestamp", "event_type", "data")
 
 
 # ---- sources, ingest, quality

