@@ -19,7 +19,7 @@ from watchloom.session import materialise, prepare_session, scratch_path
 from watchloom.sources import bundle, export, store
 from watchloom.sources.coerce import coerce_table, to_list, to_severity, to_timestamp
 from watchloom.sources.conform import conform
-from watchloom.sources.csv_scan import ROW_ID
+from watchloom.sources.csv_scan import ROW_ID, read_csv_robust
 from watchloom.sources.mapping import map_columns
 from watchloom.sources.tables import load_tables, read_table
 from watchloom.sources.validate import drop_duplicates_keep_first, prepare
@@ -395,7 +395,7 @@ def prepared_alerts(s: Star):
 
 @query
 def ingest_rejects(s: Star) -> DataFrame:
-    return prepared_alerts(s).all_rejects
+    return prepared_alerts(s).all_rejects.drop("file")
 
 
 @query
@@ -502,6 +502,33 @@ def csv_bundle(s: Star) -> DataFrame:
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+@query
+def csv_scan(s: Star) -> DataFrame:
+    """Quoted cells over several lines, quotes in cells and accents, in files of two encodings."""
+    base = scratch_path(s.spark, "csv-scan")
+    rows = s.tables().alerts.selectExpr(
+        "alert_id as `Alert ID`", "k as `Number`",
+        "case k % 5 when 0 then 'first ' || k || chr(10) || 'second; \"' || category || '\"' when 1 then 'caf' || chr(233) || '; ' || k"
+        " when 2 then '5\" pipe' when 3 then 'N/A' else category end as `Note`", "status as `State`")
+    for name, encoding, where in (("a", "UTF-8", "Number % 2 = 0"), ("b", "ISO-8859-1", "Number % 2 = 1")):
+        rows.filter(where).write.option("header", True).option("sep", ";").option("escape", '"').option("encoding", encoding).csv(f"{base}/{name}")
+    return read_csv_robust(s.spark, f"{base}/*").select("Alert ID", "Number", "Note", "State")
+
+
+@query
+def csv_rejects(s: Star) -> DataFrame:
+    """Rejected rows of a submission of two files, with their place in each; the second file repeats ids of the first."""
+    base = scratch_path(s.spark, "csv-rejects")
+    rows = s.tables().alerts.selectExpr(
+        "k", "case when k % 7 = 3 then 'ALT-' || cast(k - 1 as string) else alert_id end as alert_id", "category",
+        "case when k % 5 = 2 then 'so so' else cast(severity as string) end as severity",
+        "date_format(created_ts, \"yyyy-MM-dd'T'HH:mm:ss\") as created_ts", "status")
+    for name, where in (("a", "k % 3 = 0"), ("b", "k % 3 <> 0")):
+        rows.filter(where).repartition(1).sortWithinPartitions("k").drop("k").write.option("header", True).csv(f"{base}/{name}")
+    prepared = prepare(read_csv_robust(s.spark, f"{base}/*"), "alerts", schemas.ALERT, "ENT-SUB", "alert_id")
+    return prepared.all_rejects
+
+
 PROFILE = {"sector": "Power", "size_tier": "Tier 1", "region": "Region-1", "soc_model": "MSSP"}
 
 

@@ -537,6 +537,16 @@ select alert_id, entity_id, case when entity_id = 'ENT-08' then 'Reopened' else
     "json_bundle": "\nunion all ".join(
         f"""select '{t}' "table", entity_id, count(*) "rows", count({c}) filled from soc_{t} group by all"""
         for t, c in {"entities": "sector", "assets": "monitored_flag", "alerts": "closed_ts", "cases": "alert_ids", "events": "ts"}.items()),
+    "csv_scan": """
+select alert_id "Alert ID", k::varchar "Number", case k % 5 when 0 then 'first ' || k || chr(10) || 'second; "' || category || '"'
+    when 1 then 'caf' || chr(233) || '; ' || k when 2 then '5" pipe' when 4 then category end "Note", status "State"
+from soc_alerts""",
+    "csv_rejects": """
+select file, "row", 'severity' field, 'unparseable value ''so so''' problem, id from (
+  select *, row_number() over (partition by id order by file, "row") n from (
+    select k, case when k % 3 = 0 then 1 else 2 end file, row_number() over (partition by k % 3 = 0 order by k) + 1 "row",
+      case when k % 7 = 3 then 'ALT-' || (k - 1)::varchar else alert_id end id from soc_alerts))
+where n = 1 and k % 5 = 2""",
     "csv_bundle_store": """
 select t.* from (select unnest(['007', 'ENT-9']) entity_id) e, lateral (
   select 'entities' "table", e.entity_id, 'Power' item
