@@ -3,6 +3,7 @@
 from dataclasses import replace
 
 from frames import alert, asset, at, case, entity, tables, targets
+from pyspark.sql import functions as F
 
 from watchloom.config import DEFAULTS
 from watchloom.operators import execution_gaps as eg, exploratory as ex, negative_space as ns
@@ -278,3 +279,18 @@ def test_thresholds_are_parameters(spark):
     t = tables(spark, alerts=[alert(1, severity=4, closed_ts=at(90))])
     assert targets(eg.eg_01(t)) == []
     assert targets(eg.eg_01(t, replace(DEFAULTS, fast_close_seconds=120.0))) == [("E1", "A1")]
+
+
+def test_missing_cells_of_many_common_categories(spark):
+    """Only subjects that lack something are expanded."""
+    from watchloom.operators.negative_space import missing_cells
+
+    n = 100_000
+    common = spark.range(n).select(F.concat(F.lit("c"), "id").alias("category"))
+    who = spark.createDataFrame([(e,) for e in ("E1", "E2", "E3")], "entity_id string")
+    seen = spark.range(n).selectExpr("'E1' entity_id", "concat('c', id) category").union(
+        spark.range(n).filter("id <> 77").selectExpr("'E2'", "concat('c', id)")).union(spark.range(5).selectExpr("'E1'", "concat('rare', id)"))
+    got = missing_cells(who.filter("entity_id <> 'E3'"), common, seen)
+    assert [tuple(r) for r in got.collect()] == [("E2", "c77")]
+    assert missing_cells(who, common, seen).groupBy("entity_id").count().orderBy("entity_id").collect() == [("E2", 1), ("E3", n)]
+    assert "collect_list" not in got._jdf.queryExecution().optimizedPlan().toString()

@@ -67,6 +67,22 @@ def test_exact_quantile_matches_sorting(spark, n, q):
     assert alone == got["g"]
 
 
+@pytest.mark.parametrize("spread", ["even", "wide", "packed"])
+def test_exact_quantile_of_a_million_values(spark, monkeypatch, spread):
+    """One group of 10**6 distinct values, found by rounds of histograms; the other group is small."""
+    from watchloom.functions import quantiles
+
+    monkeypatch.setattr(quantiles, "LEAF", 500)
+    v = {"even": "id * 0.5", "wide": "if(id % 2 = 0, -1, 1) * pow(2.0D, id % 2000 - 1000) * (1 + id / 1e7)",
+         "packed": "if(id = 0, 1e300D, 1 + id * 1e-9)"}[spread]
+    df = spark.range(10**6).selectExpr("'big' as k", f"cast({v} as double) as v")
+    ends = spark.sql("select 'end' k, explode(array(double('-inf'), double('inf'), 1.0D)) v")
+    q = 0.623
+    got = {r["k"]: r["x"] for r in exact_quantile(df.union(ends), ["k"], "v", q, "x").collect()}
+    assert got["big"] == pytest.approx(df.agg(F.percentile("v", F.lit(q)).alias("x")).first()["x"], rel=1e-12)
+    assert got["end"] == float("inf") and exact_quantile(ends, ["k"], "v", 0.5, "x").first()["x"] == 1.0
+
+
 def test_quantile_of_nothing(spark):
     assert exact_quantile(spark.createDataFrame([], "v double"), [], "v", 0.5, "x").count() == 0
 

@@ -1,7 +1,7 @@
 """EX-01: analysts isolated by a random forest over their case statistics.
 
 Isolation Forest (Liu, Ting, Zhou 2008): each tree is grown from a bounded sample in
-its own task, and all rows are scored by walking heap-indexed node arrays. Random
+its own task, and all rows are scored by walking flat node arrays. Random
 choices come from hashes, so a run is reproducible.
 """
 
@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from watchloom.config import DEFAULTS, Settings
 from watchloom.functions.hashing import uniform
@@ -108,35 +110,63 @@ def _levels(cfg: Settings) -> int:
     return max(1, (cfg.forest_sample - 1).bit_length())
 
 
+#: Nodes of all trees; the forest goes to every task.
+MOST_NODES = 1_000_000
+
+
+def _flat_forest(features: DataFrame, cfg: Settings) -> tuple[np.ndarray, ...]:
+    """(feature, cut, path length) of all trees, one row a tree, nodes by heap index; -1 is a leaf."""
+    slots = 2 ** (_levels(cfg) + 1) - 1
+    if cfg.forest_trees * slots > MOST_NODES:
+        raise ValueError(f"a forest of {cfg.forest_trees} trees with up to {slots} nodes is over the {MOST_NODES} nodes sent to every task")
+    feature = np.full((cfg.forest_trees, slots + 1), -1, np.int64)
+    cut, rows, depth = (np.zeros(feature.shape) for _ in range(3))
+    for tree, nodes in grow_forest(features, cfg).collect():
+        for k, node in enumerate(nodes, 1):
+            if node is not None:
+                feature[tree, k] = -1 if node["feature"] is None else node["feature"]
+                cut[tree, k], rows[tree, k], depth[tree, k] = node["cut"] or 0.0, node["rows"], node["depth"]
+    return feature, cut, depth + depth_of(rows)
+
+
+def depth_of(n: np.ndarray) -> np.ndarray:
+    """``expected_depth`` of an array."""
+    big = np.maximum(n, 3.0)
+    return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, 2.0 * (np.log(big - 1.0) + _EULER) - 2.0 * (big - 1.0) / big))
+
+
 def anomaly_scores(features: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """``features`` plus ``score`` in (0, 1); higher is easier to isolate.
 
-    Rows walk each tree inside one expression on the JVM; nothing but the forest
-    itself is shipped to them.
+    The forest is flat arrays of a constant size, and a task walks all trees for a batch of
+    rows at a time: one step down all of them is one lookup by (row, tree). Rows are neither
+    multiplied nor shuffled.
     """
-    size = features.agg(F.count(F.lit(1)).alias("n")).scalar()
-    psi = F.least(F.lit(cfg.forest_sample), size)
-
-    def step(node: Column, _: Column) -> Column:
-        at = F.element_at("nodes", node)
-        right = (F.get("x", at["feature"]) > at["cut"]).cast("int")
-        return F.when(at["feature"].isNull(), node).otherwise(node * 2 + right)
-
-    walk = F.aggregate(F.sequence(F.lit(1), F.lit(_levels(cfg))), F.lit(1), step)
-    leaf = F.element_at("nodes", F.col("at"))
-    paths = (
-        features.select(
-            "*", F.array(*[F.col(f).cast("double") for f in FEATURES]).alias("x"),
-            F.explode(F.sequence(F.lit(0), F.lit(cfg.forest_trees - 1))).alias("tree"),
-        )
-        .join(F.broadcast(grow_forest(features, cfg)), "tree")  # constant size, see grow_forest
-        .withColumn("at", walk)
-        .withColumn("h", leaf["depth"] + expected_depth(leaf["rows"]))
-    )
-    depth = paths.groupBy("analyst", *FEATURES).agg(F.avg("h").alias("depth"))
-    norm = F.nullif(expected_depth(psi), F.lit(0.0))
+    n = features.count()
+    if not n:
+        return features.select("analyst", *FEATURES, F.lit(None).cast("double").alias("score"))
+    psi = min(cfg.forest_sample, n)
+    norm, levels = float(depth_of(np.array([psi]))[0]), _levels(cfg)
+    feature, cut, length = _flat_forest(features, cfg)
+    names = ["analyst", *FEATURES, "score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = np.arange(len(feature))[None, :]
+        for batch in batches:
+            x = np.stack([batch.column(f).cast(pa.float64()).to_numpy(zero_copy_only=False) for f in FEATURES], axis=1)
+            at = np.ones((len(x), len(feature)), np.int64)
+            for _ in range(levels):
+                f = feature[trees, at]
+                right = np.take_along_axis(x, np.maximum(f, 0), axis=1) > cut[trees, at]
+                at = np.where(f < 0, at, 2 * at + right)
+            depth = length[trees, at].mean(axis=1)
+            score = pa.array(np.power(2.0, -depth / norm)) if norm else pa.nulls(len(x), pa.float64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), score], names)
+
+    scored = features.select("analyst", *FEATURES)
+    schema = T.StructType([*scored.schema.fields, T.StructField("score", T.DoubleType())])
     # Rounded, so that a score does not depend on the order its terms were summed in.
-    return depth.select("analyst", *FEATURES, F.round(F.pow(F.lit(2.0), -F.col("depth") / norm), 9).alias("score"))
+    return scored.mapInArrow(run, schema).withColumn("score", F.round("score", 9))
 
 
 def ex_01(t: SocTables, cfg: Settings = DEFAULTS) -> DataFrame:

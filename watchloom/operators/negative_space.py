@@ -11,19 +11,27 @@ from watchloom.operators.findings import finding
 from watchloom.sources.tables import SocTables
 
 
-def missing_cells(subjects: DataFrame, expected: DataFrame, observed: DataFrame) -> DataFrame:
-    """Expected cells a subject lacks.
+_SALTS = 64
+
 
-    ``expected`` is a short list of cells; it reaches each subject row as one array
-    value, not through a join. The callers prove its length: a cell common to a
-    share s of n subjects is one of at most |observed| / (s n), so the grid has at
-    most |observed| / s rows. ``observed`` must be distinct.
+def missing_cells(subjects: DataFrame, expected: DataFrame, observed: DataFrame) -> DataFrame:
+    """Expected cells a subject lacks; ``expected`` and ``observed`` must be distinct.
+
+    Subjects that have as many expected cells as there are lack none and are out before
+    anything is expanded. The others meet the expected cells by an equality join on a
+    salt, each cell in one of ``_SALTS`` shares, so neither side is gathered anywhere, and
+    lose those they have. A cell common to a share s of n subjects is one of at most
+    |observed| / (s n), so even with every subject in deficit the grid has at most
+    |observed| / s rows.
     """
-    cell = expected.columns
-    cells = expected.agg(F.collect_list(F.struct(*cell)).alias("cells")).scalar()
-    keys = [*subjects.columns, *cell]
-    grid = subjects.select("*", F.inline(cells))
-    return grid.join(observed.select(*keys), keys, "left_anti")
+    cell, who = expected.columns, subjects.columns
+    total = F.coalesce(expected.agg(F.count(F.lit(1)).alias("n")).scalar(), F.lit(0))
+    had = observed.join(expected, cell, "left_semi").groupBy(*who).agg(F.count(F.lit(1)).alias("_had"))
+    short = subjects.join(had, who, "left").filter(F.coalesce("_had", F.lit(0)) < total).drop("_had")
+    shares = expected.withColumn("_salt", F.pmod(F.xxhash64(*cell), F.lit(_SALTS)).cast("int"))
+    spread = short.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    grid = spread.join(shares, "_salt").select(*who, *cell)
+    return grid.join(observed.select(*who, *cell), [*who, *cell], "left_anti")
 
 
 def ns_01(t: SocTables, cfg: Settings = DEFAULTS) -> DataFrame:

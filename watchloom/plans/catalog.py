@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,7 +13,7 @@ from watchloom.operators import (
     audit, evaluation, exploratory, negative_space, peers, quality, reports, sampling, scoring,
 )
 from watchloom.operators.detectors import DETECTORS, all_findings
-from watchloom.operators.isolation_forest import analyst_features
+from watchloom.operators.isolation_forest import analyst_features, anomaly_scores
 from watchloom.plans.assessment import assess
 from watchloom.plans.star import Star, star
 from watchloom.session import materialise, prepare_session, scratch_path
@@ -84,6 +85,15 @@ def ex_01_features(s: Star) -> DataFrame:
     )
 
 
+@query
+def ex_01_desks(s: Star) -> DataFrame:
+    """Anomaly scores of (analyst, rule) pairs: more subjects than a tree samples."""
+    t = s.tables()
+    pairs = t.cases.withColumn("owner", F.concat("owner", F.lit("/"), "rule_id"))
+    features = materialise(analyst_features(replace(t, cases=pairs)), "desk-features")
+    return anomaly_scores(features).select("analyst", "score")
+
+
 @query
 def finding_scores(s: Star) -> DataFrame:
     return scoring.score_findings(findings(s)).select(*KEY, r6("score").alias("score"))
@@ -427,8 +437,6 @@ def dq_missing_analyst(s: Star) -> DataFrame:
 
 @query
 def dq_orphan_alerts(s: Star) -> DataFrame:
-    from dataclasses import replace
-
     t = s.tables()
     return quality.orphan_alerts(replace(t, assets=t.assets.filter("type <> 'IoT'")))
 

@@ -207,27 +207,29 @@ from soc_cases where owner is not null and closed_ts is not null group by owner"
 
 
 def _forest() -> dict[str, str]:
-    """Isolation forest by unrolled levels, for at most 256 analysts (all in every tree)."""
+    """Isolation forest by unrolled levels; a tree grows from its 256 rows with the smallest hashes."""
+    row = _hash01("'42'", "'row'", "tree", "analyst")
     out = {
         "features": FEATURES_SQL,
-        "forest_0": """
+        "forest_0": f"""
 select tree, analyst, [total_cases::double, avg_closure_time, fast_closure_rate] x, 1 node, null::double h,
-  ceil(log2(greatest(least(256, (select count(*) from features)), 2)))::int max_depth
+  ceil(log2(greatest(least(256, (select count(*) from features)), 2)))::int max_depth,
+  row_number() over (partition by tree order by {row}, analyst) <= 256 seen
 from features cross join (select unnest(range(100)) tree)""",
     }
     expected = "case when n <= 1 then 0.0 when n = 2 then 1.0 else 2.0 * (ln(n - 1.0::double) + 0.5772156649015329::double) - 2.0 * (n - 1.0) / n end"
     for d in range(9):
-        spans = ", ".join(f"min(x[{i}]) over w l{i}, max(x[{i}]) over w h{i}" for i in (1, 2, 3))
+        spans = ", ".join(f"min(x[{i}]) filter (seen) over w l{i}, max(x[{i}]) filter (seen) over w h{i}" for i in (1, 2, 3))
         pick = _hash01("'42'", "'feature'", "tree", "node")
         cut = _hash01("'42'", "'cut'", "tree", "node")
         out[f"spans_{d}"] = f"""
 select *, list_filter([1, 2, 3], lambda i: [h1, h2, h3][i] > [l1, l2, l3][i]) vary from (
-  select *, count(*) over w n, {spans} from forest_{d} window w as (partition by tree, node))"""
+  select *, count(*) filter (seen) over w n, {spans} from forest_{d} window w as (partition by tree, node))"""
         out[f"forest_{d + 1}"] = f"""
 select tree, analyst, x,
   case when h is not null or stop then node else 2 * node + case when x[f] > [l1, l2, l3][f] + {cut} *
     ([h1, h2, h3][f] - [l1, l2, l3][f]) then 1 else 0 end end node,
-  case when h is null and stop then {d} + {expected} else h end h, max_depth
+  case when h is null and stop then {d} + {expected} else h end h, max_depth, seen
 from (select *, len(vary) = 0 or {d} >= max_depth or n <= 1 stop,
         vary[floor({pick} * len(vary))::int + 1] f from spans_{d})"""
     norm = re.sub(r"\bn\b", "m", expected)
@@ -627,5 +629,7 @@ def _statement(body: str, extra: dict[str, str] | None = None) -> str:
 def oracle_sql() -> dict[str, str]:
     out = {name: _statement("\n" + body) for name, body in SELECTS.items()}
     out.update({name: _statement("\n" + body, extra) for name, (extra, body) in SAMPLED.items()})
+    pairs = {"soc_cases": f"select * replace (owner || '/' || rule_id as owner) from ({FIXTURE['soc_cases']})"}
+    out["ex_01_desks"] = _statement("\nselect analyst, score from forest_scores", pairs)
     out["csv_to_findings"] = _statement("\nselect * from findings", SUBMITTED)
     return out
