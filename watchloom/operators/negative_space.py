@@ -55,7 +55,7 @@ def ns_02(t: SocTables, cfg: Settings = DEFAULTS) -> DataFrame:
     common = (
         pairs.filter(F.col("category").isNotNull())
         .groupBy("category").agg(F.count("entity_id").alias("entities"))
-        .filter(F.col("entities") / total >= cfg.common_category_share)
+        .filter(F.try_divide("entities", total) >= cfg.common_category_share)
         .select("category")
     )
     missing = missing_cells(t.entities.select("entity_id"), common, pairs)

@@ -349,12 +349,14 @@ def ingest_map_columns(s: Star) -> DataFrame:
 
 @query
 def ingest_parse_list(s: Star) -> DataFrame:
-    """The alert list of a case in seven spellings."""
+    """The alert list of a case in twelve spellings."""
     cells = s.tables().cases.selectExpr(
         "k",
-        "case k % 7 when 0 then '[''A' || k || ''', ''B,' || k || ''']' when 1 then '[\"A' || k || '\"]'"
+        "case when k % 12 = 7 then '[\"A\\\\\"' || k || '\", \"c\"]' when k % 12 = 8 then '[[''A'', ''' || k || '''], ''c'']'"
+        " when k % 12 = 9 then '[\"A' || k || '\", null, true]' when k % 12 = 10 then '(''A' || k || ''', 1.50)'"
+        " when k % 12 = 11 then '[A' || k || ', B]' else case k % 12 when 0 then '[''A' || k || ''', ''B,' || k || ''']' when 1 then '[\"A' || k || '\"]'"
         " when 2 then 'A' || k || '; B' || k || ';' when 3 then 'A' || k || '|B' || k"
-        " when 4 then 'A' || k || ', B' || k || ' , C' when 5 then ' A' || k || ' ' else '  ' end as cell",
+        " when 4 then 'A' || k || ', B' || k || ' , C' when 5 then ' A' || k || ' ' else '  ' end end as cell",
     )
     return cells.select("k", F.concat_ws("~", to_list("cell")).alias("items"),
                         F.coalesce(F.size(to_list("cell")), F.lit(-1)).alias("n"))
@@ -437,8 +439,38 @@ def dq_missing_analyst(s: Star) -> DataFrame:
 
 @query
 def dq_orphan_alerts(s: Star) -> DataFrame:
+    """Alerts on assets nobody knows: some alerts name an id that was never registered."""
     t = s.tables()
-    return quality.orphan_alerts(replace(t, assets=t.assets.filter("type <> 'IoT'")))
+    asset = F.when(F.col("k") % 17 == 0, F.concat(F.lit("AST-X"), "k")).when(F.col("k") % 19 != 0, F.col("asset_id"))
+    return quality.orphan_alerts(replace(t, alerts=t.alerts.withColumn("asset_id", asset)))
+
+
+@query
+def ingest_numbers(s: Star) -> DataFrame:
+    """Reported figures of a period as text cells; those that are no number become null."""
+    cells = s.tables().alerts.selectExpr(
+        "k", "entity_id", "'2024-01' as period",
+        "case k % 6 when 0 then cast(k as string) || '.25' when 1 then ' -7 ' when 2 then '1e3' when 3 then 'n.b.' when 4 then '' end as reported_mttr_mins",
+        "case when k % 4 = 0 then 'ninety' else cast(k % 100 as string) end as reported_sla_percent")
+    return coerce_table(cells, schemas.KPI_REPORT, keep=("k",)).select("k", "reported_mttr_mins", "reported_sla_percent")
+
+
+@query
+def finding_rationales(s: Star) -> DataFrame:
+    """Why a finding was raised, of detectors whose text has no rounded number."""
+    found = [DETECTORS[d](s.tables()) for d in ("NS-01", "NS-02", "NS-03", "NS-05")]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.select(*KEY[:3], "rationale")
+
+
+@query
+def missing_tables(s: Star) -> DataFrame:
+    """Alerts alone are there: detectors that need other tables give nothing, the others what they give with all."""
+    base = scratch_path(s.spark, "alone")
+    s.tables().alerts.write.parquet(f"{base}/real/alerts.parquet")
+    return all_findings(load_tables(s.spark, base)).select(*KEY)
 
 
 @query

@@ -489,10 +489,25 @@ select alert_id, entity_id, category, severity, created_ts, status,
 select alert_id, rule_id, category, sev_text severity, ts_text created_ts, status, disposition, analyst_id
 from raw_alerts""",
     "ingest_parse_list": """
-select k, case k % 7 when 0 then 'A' || k || '~B,' || k when 1 then 'A' || k when 2 then 'A' || k || '~B' || k
-    when 3 then 'A' || k || '~B' || k when 4 then 'A' || k || '~B' || k || '~C' when 5 then 'A' || k else '' end items,
-  case k % 7 when 0 then 2 when 1 then 1 when 2 then 2 when 3 then 2 when 4 then 3 when 5 then 1 else -1 end n
+select k, case k % 12 when 0 then 'A' || k || '~B,' || k when 1 then 'A' || k when 2 then 'A' || k || '~B' || k
+    when 3 then 'A' || k || '~B' || k when 4 then 'A' || k || '~B' || k || '~C' when 5 then 'A' || k when 7 then 'A"' || k || '~c'
+    when 8 then '[''A'', ''' || k || ''']~c' when 9 then 'A' || k || '~None~True' when 10 then 'A' || k || '~1.5'
+    when 11 then 'A' || k || '~B' else '' end items,
+  case k % 12 when 0 then 2 when 1 then 1 when 2 then 2 when 3 then 2 when 4 then 3 when 5 then 1 when 6 then -1 when 9 then 3 else 2 end n
 from soc_cases""",
+    "ingest_numbers": """
+select k, case k % 6 when 0 then k + 0.25::double when 1 then -7.0 when 2 then 1000.0 end::double reported_mttr_mins,
+  case when k % 4 <> 0 then k % 100 end::double reported_sla_percent from soc_alerts""",
+    "finding_rationales": f"""
+select detector_id, entity_id, target_id, rationale from (
+  select 'NS-01' detector_id, d.entity_id, d.target_id, 'Critical asset of type ''' || a.type || ''' produced no alert in the period.' rationale
+  from ({DETECTOR_SQL['NS-01']}) d join soc_assets a on a.asset_id = d.target_id
+  union all select 'NS-02', entity_id, target_id, 'Category ''' || target_id || ''' is common among entities but missing here.'
+  from ({DETECTOR_SQL['NS-02']})
+  union all select 'NS-03', entity_id, target_id, 'Alert of severity ' || severity || ' was raised but no case was opened.'
+  from ({DETECTOR_SQL['NS-03']})
+  union all select 'NS-05', d.entity_id, d.target_id, (select count(*) from soc_assets a where a.entity_id = d.entity_id and a.type = d.target_id)
+    || ' assets of type ''' || d.target_id || ''', none with an alert.' from ({DETECTOR_SQL['NS-05']}) d)""",
     "ingest_severity": """
 select k, case k % 11 when 0 then 3 when 1 then 4 when 2 then 1 when 3 then 3 when 4 then 2 when 5 then -1
   when 6 then null when 7 then null when 8 then null when 9 then 99 else severity end severity from soc_alerts""",
@@ -531,8 +546,7 @@ select (select count(distinct case_id) from soc_links where alert_id not in (sel
     "dq_missing_analyst": """
 select count(*) total, count(*) filter (k % 13 = 0) missing,
   round(count(*) filter (k % 13 = 0) * 100.0::double / count(*), 6) missing_percent from soc_alerts""",
-    "dq_orphan_alerts": """
-select count(*) orphans from soc_alerts where asset_id not in (select asset_id from soc_assets where type <> 'IoT')""",
+    "dq_orphan_alerts": "select count(*) orphans from soc_alerts where k % 17 = 0",
     "upsert_entity": """
 select alert_id, entity_id, case when entity_id = 'ENT-08' then 'Reopened' else status end status from soc_alerts""",
     "append_validated": "select alert_id, entity_id, severity, closed_ts from soc_alerts",
@@ -631,5 +645,7 @@ def oracle_sql() -> dict[str, str]:
     out.update({name: _statement("\n" + body, extra) for name, (extra, body) in SAMPLED.items()})
     pairs = {"soc_cases": f"select * replace (owner || '/' || rule_id as owner) from ({FIXTURE['soc_cases']})"}
     out["ex_01_desks"] = _statement("\nselect analyst, score from forest_scores", pairs)
+    alone = {name: f"select * from ({FIXTURE[name]}) where false" for name in ("soc_entities", "soc_assets", "soc_cases")}
+    out["missing_tables"] = _statement("\nselect * from findings", alone)
     out["csv_to_findings"] = _statement("\nselect * from findings", SUBMITTED)
     return out

@@ -55,11 +55,6 @@ KPI_REPORT = _table(
     ("closure_rate", _D, None),
 )
 
-MANIFEST = _table(
-    ("entity_id", _S), ("period", _S), ("file_hashes", T.MapType(_S, _S)),
-    ("row_counts", T.MapType(_S, T.LongType())), ("received_ts", _TS),
-)
-
 TABLES = {
     "entities": ENTITY, "assets": ASSET, "alerts": ALERT, "cases": CASE,
     "events": CASE_EVENT, "escalations": ESCALATION, "notes": NOTE,
