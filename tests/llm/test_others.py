@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from compare import compare, duck
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import corpus_pipeline
 from watchloom.llm import catalog, html_text, packing, topk, url_rules
@@ -160,7 +161,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in catalog.queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in catalog.queries()) == list(range(1, 14))
 
 
 def test_pipeline_stages_in_order(spark, sf_dir, tmp_path):
@@ -190,3 +191,38 @@ def test_stages_on_an_empty_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
+
+
+CLASHING = ["row", "others", "cands", "leaked", "toxic_score", "toxic_flag", "bits", "component_id", "fingerprint", "n", "start", "kind", "others.x"]
+
+
+def test_stages_keep_rows_and_columns_of_any_name(spark, sf_dir):
+    """Nulls, empty and long texts, repeated rows and ids; further columns pass through."""
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").first()["text"]
+    clean = "The harbour board met on Tuesday and agreed to repaint the northern lighthouse before winter comes."
+    other = "Bread rises best in a warm kitchen, so leave the dough near the oven while the tomatoes simmer slowly."
+    texts = [(1, clean), (1, clean), (1, other), (2, clean), (3, None), (4, ""), (None, clean), (None, "A text without an id stands here, alone of its kind in all of the table."),
+             (5, f"Before it {item} after it"), (6, "Write to someone.else@mail.example today, token=" + "k9" * 90 + " ends"), (7, (other + " ") * 3000)]
+    rows = [(i, t, *[f"{k}:{c}" for c in CLASHING]) for k, (i, t) in enumerate(texts)]
+    fields = [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), *(T.StructField(c, T.StringType()) for c in CLASHING)]
+    docs = spark.createDataFrame(rows, T.StructType(fields))
+    stage = dict(corpus_pipeline.STAGES)
+
+    def numbers(name, frame=docs):
+        out = stage[name](spark, frame, sf_dir)
+        assert out.columns == docs.columns
+        for r in out.collect():
+            k = int(r["row"].split(":")[0])
+            assert r["doc_id"] == texts[k][0] and [r[c] for c in CLASHING] == [f"{k}:{c}" for c in CLASHING]
+            yield k, r["text"]
+
+    assert {k for k, _ in numbers("toxicity")} == set(range(len(texts)))
+    kept = {k for k, _ in numbers("simhash_near_dedup")}
+    assert len(kept & {0, 1}) == 1 and kept - {0, 1} == {2, 4, 7, 8, 9, 10}
+    assert {k for k, _ in numbers("benchmark_decontamination")} == set(range(len(texts))) - {8}
+    masked = dict(numbers("pii"))
+    assert len(masked) == len(texts) and masked[4] is None and masked[5] == "" and masked[0] == clean and masked[10] == texts[10][1]
+    assert "[EMAIL]" in masked[9] and "k9k9" not in masked[9]
+    packed = stage["best_fit_packing"](spark, docs, sf_dir)
+    encode = packing.Encoder(packing.tokenizer_path())
+    assert packed.agg(F.sum("length")).first()[0] == sum(len(encode(t or "")) + 1 for _, t in texts)

@@ -43,8 +43,8 @@ EXTRA = {
     "card": (r"[0-9]{13}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7})(?![0-9])"),
     "phone": (r"[0-9]{3}[ .-][0-9]{4}", r"(?:\+?[0-9]{1,3}[ .-])?(?:\([0-9]{3}\) ?|(?<![0-9])[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
     "iban": (r"[A-Z]{2}[0-9]{2}", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
-    "name": (r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\b", r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.? \p{Lu}\p{L}{1,30}(?: \p{Lu}\p{L}{1,30}){0,2}"),
-    "secret": (r"AKIA|(?i:token|key|secret|password)", r"\bAKIA[0-9A-Z]{16}\b|(?i:\b(?:api_?key|token|secret|password)) ?[=:] ?[\"']?[A-Za-z0-9+/_-]{12,100}"),
+    "name": (r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\b", r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.? \p{Lu}\p{L}++(?: \p{Lu}\p{L}++){0,2}"),
+    "secret": (r"AKIA|(?i:token|key|secret|password)", r"\bAKIA[0-9A-Z]{16}\b|(?i:\b(?:api_?key|token|secret|password)) ?[=:] ?[\"']?[A-Za-z0-9+/_-]{12,}+"),
     "ssn": (r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
 }
 #: Labelers in the order of a candidate's votes.
@@ -193,16 +193,20 @@ def _em(votes: np.ndarray, n: np.ndarray, rounds: int) -> tuple[tuple[float, ...
     return tuple(map(float, right)), posterior
 
 
+#: How many candidates the starting weights (those of the labelers' reliabilities) count for in the classifier.
+RIDGE = 1.0
+
+
 def _logistic(votes: np.ndarray, n: np.ndarray, target: np.ndarray, right: tuple[float, ...], steps: int = 30) -> tuple[float, ...]:
     start = np.array([0.0, *(math.log(r / (1 - r)) for r in right)])
     if not len(votes):
         return tuple(start)
     a = np.hstack([np.ones((len(votes), 1)), votes])
-    w, share = start.copy(), n / n.sum() * min(n.sum(), 1e4)
+    w, share = start.copy(), n.astype(float)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (share * p * (1 - p))[:, None]).T @ a + np.eye(len(w))
-        w -= np.clip(np.linalg.solve(h, a.T @ (share * (p - target)) + (w - start)), -1, 1)
+        h = (a * (share * p * (1 - p))[:, None]).T @ a + RIDGE * np.eye(len(w))
+        w -= np.clip(np.linalg.solve(h, a.T @ (share * (p - target)) + RIDGE * (w - start)), -1, 1)
     return tuple(map(float, w))
 
 
