@@ -257,8 +257,8 @@ def audit_events(s: Star) -> DataFrame:
 
 
 def audit_chains(s: Star, events: DataFrame | None = None) -> DataFrame:
-    """Linked in slices of 1,000 blocks, so that chains go over several rounds."""
-    return audit.build_chains(audit_events(s) if events is None else events, "chain", ["ts", "event_id"], F.to_date("ts"), slice_size=1000)
+    """Linked in slices of 2,000 blocks, so that long chains go over several rounds."""
+    return audit.build_chains(audit_events(s) if events is None else events, "chain", ["ts", "event_id"], F.to_date("ts"), slice_size=2000)
 
 
 @query
