@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,8 @@ SAMPLE_PAGES, LAYOUTS = 160, 320
 TRAIN_BLOCKS = 40
 EPOCHS, RATE, HIDDEN, EMBED, BUCKETS, WORDS = 8, 0.012, 16, 20, 1024, 16
 SHAPES = 6
+#: A path deeper than this keeps its outer and its inner half; the text of every block stays.
+DEPTH = 512
 SEED = 7
 
 _BLOCK = frozenset(
@@ -41,10 +44,13 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = "script|style|noscript|template|iframe|textarea"
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _BARRIER = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
+#: The inside of a tag. Quotes count only where a value begins and if they close; nothing is read twice but after a quote
+#: that does not close, of which a page has at most one of each sort.
+_ATTRS = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|))*+"""
 _PIECE = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|(?P<text>[^<]+|<)", re.S | re.I)
-_SVG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<end>/?)svg(?=[\s/>])(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b{_ATTRS}>.*?(?:</(?P=raw)\s*+>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<attrs>{_ATTRS})(?:>|\Z)|(?P<text>[^<]++|<)", re.S | re.I)
+_SVG = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<end>/?)svg(?=[\s/>])(?P<attrs>{_ATTRS})(?:>|\Z)", re.S | re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _DIGITS = re.compile(r"\d")
 _PART = re.compile(r"[A-Za-z]+")
@@ -76,6 +82,7 @@ def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order; character references decoded, white space single, blank ones left out."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    opened: Counter[str] = Counter()  # of the stack, so that an end tag without its element looks for none
     held: list[str] = []
     linked, in_link = 0, False
 
@@ -84,10 +91,15 @@ def blocks(page: str) -> list[Block]:
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                out.append(Block(tuple(t for _, own in stack for t in own), text, min(linked, len(text))))
+                path = stack if len(stack) <= DEPTH else stack[: DEPTH // 2] + stack[-DEPTH // 2:]
+                out.append(Block(tuple(t for _, own in path for t in own), text, min(linked, len(text))))
             held.clear()
         linked = 0
 
+    def close(start: int) -> None:
+        opened.subtract(tag for tag, _ in stack[start:])
+        del stack[start:]
+
     past = 0
     while m := _PIECE.match(page, past):
         past = m.end()
@@ -112,25 +124,26 @@ def blocks(page: str) -> list[Block]:
         flush()
         in_link = False
         if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
             continue
         if stack and stack[-1][0] == "p":
-            stack.pop()
-        if tag in _CLOSES:
+            close(len(stack) - 1)
+        if tag in _CLOSES and any(opened[t] for t in _CLOSES[tag]):
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in _BARRIER[tag]:
                     break
                 if stack[k][0] in _CLOSES[tag]:
-                    del stack[k:]
+                    close(k)
                     break
         if tag == "body":
-            stack = [s for s in stack if s[0] == "html"]
+            stack[:] = [s for s in stack if s[0] == "html"]
+            opened.clear()
+            opened["html"] = len(stack)
         if tag not in _VOID and not (m["attrs"] or "").rstrip().endswith("/"):
             names = [w.lower() for found in _NAMED.findall(m["attrs"] or "") for w in _PART.findall(" ".join(found))]
             stack.append((tag, (f"<{tag}", *names)))
+            opened[tag] += 1
     flush()
     return out
 
@@ -430,7 +443,7 @@ def texts(pages: list[str], net: Network, threshold: float = 0.5) -> list[str]:
 
 
 def learn(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Network:
-    """Train on about ``sample`` pages of the table; the network's size does not depend on it."""
+    """Train on about ``sample`` pages of the table, none of 200,000 characters or more; the network's size does not depend on it."""
     usable = pages.select("page_id", "html").filter("page_id is not null and html is not null and length(html) < 200000")
     total = usable.count()
     if total > sample:
@@ -442,8 +455,9 @@ def learn(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Network:
 def extract(pages: DataFrame, net: Network) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages``, from the whole html.
 
-    Null or blank pages have an empty text. Null ids and urls stay null, repeated rows
-    each give a row. Only ``page_id``, ``url`` and ``html`` are read, so further
+    Null or blank pages have an empty text; ``noscript`` and ``template``, which no reader
+    sees, count as scripts. Long pages are read in one forward pass. Null ids and urls
+    stay null, repeated rows each give a row. Only ``page_id``, ``url`` and ``html`` are read, so further
     columns may have any name. An empty table gives no row. ``n_chars`` counts code points.
     """
 
