@@ -17,6 +17,7 @@ proportion to the text, and none repeats a group (Java would recurse).
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,16 +76,42 @@ def _located(text: Column, pattern: str, kind: str, hits_from: Column | None = N
     n = F.size(hits)
     sides = F.zip_with(F.slice(gaps, 1, n), F.slice(gaps, 2, n), lambda a, b: F.struct(
         F.length(a).alias("gap"), F.right(a, F.lit(CONTEXT)).alias("before"), F.left(b, F.lit(CONTEXT)).alias("after")))
-    zipped = F.zip_with(sides, hits, lambda s, h: F.struct(s["gap"].alias("gap"), s["before"].alias("before"), s["after"].alias("after"), h.alias("hit")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    zipped = F.zip_with(sides, hits, lambda s, h: F.struct(
+        (s["gap"] + F.length(h)).alias("move"), s["before"].alias("before"), s["after"].alias("after"), h.alias("hit")))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["hit"])
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["hit"].alias("hit"), x["before"].alias("before"), x["after"].alias("after"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
+    def spans(found: Column) -> Column:
+        return F.zip_with(found, _sums(F.transform(found, lambda x: x["move"])), lambda x, end: F.struct(
+            F.lit(kind).alias("kind"), (end - F.length(x["hit"])).alias("start"), end.alias("end"), x["hit"].alias("hit"),
+            x["before"].alias("before"), x["after"].alias("after")))
 
-    return F.aggregate(zipped, empty, step, lambda acc: acc["out"])
+    return _let(zipped, spans)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _sums(numbers: Column) -> Column:
+    """Running sums of an array of int: of the parts of about the root of its length, then inside each part.
+
+    So an array is appended to, which copies it, only while it is short.
+    """
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0), lambda a, v: a + v)
+
+    def within(part: Column, start: Column) -> Column:
+        first = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(part, first, lambda acc, v: F.struct((acc["at"] + v).alias("at"), F.array_append(acc["out"], acc["at"] + v).alias("out")), lambda acc: acc["out"])
+
+    def cut(x: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(x))).cast("int"))
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(x)), width), lambda at: F.slice(x, at, width))
+
+    def joined(cuts: Column) -> Column:
+        return _let(F.transform(cuts, total), lambda totals: F.flatten(F.transform(cuts, lambda part, k: within(part, total(F.slice(totals, F.lit(1), k))))))
+
+    return _let(numbers, lambda x: _let(cut(x), joined))
 
 
 def _digits(hit: Column) -> Column:
