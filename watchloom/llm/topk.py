@@ -13,6 +13,7 @@ cannot be in the result, so neither equal vectors nor dense bins make many rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ QUERY_ROWS, CANDIDATE_ROWS = 256, 4096
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(row, vec_id, dim, parts): usable rows as integers; null or non-finite components and null ids take no part."""
     x = F.col("embedding")
-    usable = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < 1e300))
+    usable = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
     rows = vectors.select("vec_id", "embedding").filter(F.coalesce(usable, F.lit(False)))
     ints = F.transform(x, lambda v: F.floor(F.lit(scale) * v.cast("double")))
     return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.size(x).alias("dim"), ints.alias("parts"))
@@ -88,13 +89,16 @@ def search(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE) -> Data
     ``is_query`` is a condition on ``vec_id``. Fewer candidates give all of them.
     Vectors meet those of their own length only. A repeated row is a row of its own:
     it is a candidate of its twin, and a query twice asked is answered twice (with
-    equal ranks). Only ``vec_id`` and ``embedding`` are read, so further columns may
+    equal ranks). Finite components so large that inner products might not fit 64 bits
+    are refused. Only ``vec_id`` and ``embedding`` are read, so further columns may
     have any name. An empty table gives no row.
     """
     spark = vectors.sparkSession
     rows = materialise(quantised(vectors, scale), "topk-vectors")
     norms = F.aggregate("parts", F.lit(0.0), lambda a, v: a + v.cast("double") * v)
     bound = int(rows.agg(F.max(norms)).first()[0] or 0) + 1  # no inner product is larger
+    if bound >= 1 << 62:
+        raise ValueError(f"components of up to {math.isqrt(bound):.3g} after scaling have inner products beyond 64 bits")
     lanes = parts(spark) * 2
     candidates = materialise(_blocks(rows.select("row", "vec_id", "dim", "parts"), CANDIDATE_ROWS), "topk-candidates")
     queries = materialise(_blocks(rows.filter(is_query).select("row", "vec_id", "dim", "parts"), QUERY_ROWS), "topk-queries")
