@@ -1,14 +1,18 @@
 """The operators on documents against brute force, with the hard cases."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from watchloom.llm import decontamination, language_model, packing, passages, pii, simhash, suffix_array, toxicity
 
@@ -299,6 +303,30 @@ def test_added_tokens_are_encoded_as_the_untouched_file_does(docs):
         assert r["length"] == len(own) and r["ids_crc32"] == zlib.crc32(np.array(own, dtype="<u4").tobytes())
 
 
+def test_running_sums(spark):
+    rows = [(k, [(7 * i + k) % 11 for i in range(k)]) for k in (0, 1, 2, 3, 4, 5, 10, 99, 1000)]
+    frame = spark.createDataFrame(rows, "k int, numbers array<int>")
+    for r in frame.select("numbers", pii._sums(F.col("numbers")).alias("sums")).collect():
+        assert r["sums"] == list(itertools.accumulate(r["numbers"]))
+
+
+def test_addresses_of_a_long_text_take_time_in_proportion(spark, docs):
+    def seconds(n):
+        frame = docs([" ".join(f"user{k}@site{k}.example.org" for k in range(n))])
+        start = time.time()
+        got = frame.select(F.size(pii._located(F.col("text"), pii._EMAIL, "email")).alias("n")).first()["n"]
+        assert got == n
+        return time.time() - start
+
+    seconds(100)
+    assert seconds(40_000) < 12 * seconds(5_000) + 2
+
+
+def test_prefixes_beyond_the_cap_are_refused(tmp_path):
+    with pytest.raises(ValueError, match="up to"):
+        suffix_array.equal_starts(np.arange(100), suffix_array.CAP + 1, str(tmp_path), print)
+
+
 def test_plan_places_every_piece_once():
     rng = random.Random(6)
     for _ in range(60):

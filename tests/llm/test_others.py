@@ -4,6 +4,7 @@ import html
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -80,6 +81,31 @@ def test_svg_ends_where_it_is_closed():
     assert texts("<p>a<svg-icon>b</svg-icon>c</p></svg><p>d</p>") == ["abc", "d"]
 
 
+def test_quotes_count_only_where_a_value_begins():
+    def texts(page):
+        return [b.text for b in html_text.blocks(page)]
+
+    assert texts("<p class=it's>hello</p><p title='a>b' x=\"c>d\">two</p>") == ["hello", "two"]
+    assert texts("<p it's>one</p><p 5\">two</p><p x = 'y>z' >three</p><p x=>four") == ["one", "two", "three", "four"]
+    assert texts("<p x=\"open>one</p><script a='>'>x</script>two") == ["one", "two"]
+
+
+@pytest.mark.parametrize("piece", [
+    "<a ", '<a x="', "<a x='<b y=\"", "<p", "</script", "<!--", "<svg ", "<svg>", "<svg><", "<script ", "<a =", "<li>", "<li><div>", "<div>x", "<div></ul>"])
+def test_hostile_pages_take_time_in_proportion(piece):
+    def seconds(n):
+        start = time.process_time()
+        html_text.blocks(piece * (n // len(piece)) + "'")
+        return time.process_time() - start
+
+    assert seconds(400_000) < 8 * seconds(100_000) + 2
+
+
+def test_a_deep_page_keeps_its_text():
+    found = html_text.blocks("<div>x" * 5000 + "</ul>" + "</div>" * 4999 + "<p>end")
+    assert [b.text for b in found] == ["x"] * 5000 + ["end"] and max(len(b.path) for b in found) == html_text.DEPTH
+
+
 # --- url rules ---------------------------------------------------------------
 
 
@@ -146,6 +172,15 @@ def test_search_with_ties_and_unusable_vectors(spark):
     assert topk.search(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_large_finite_components_take_part_or_are_refused(spark):
+    frame = spark.createDataFrame([(0, [3e5, 1.0]), (1, [2e5, -1.0]), (2, [float("inf"), 0.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in topk.search(frame, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert got == [(1, 1024 * 1024 * 60_000_000_000 - 1024 * 1024), (3, 1024 * 1024 * 300_000 + 1024 * 1024)]
+    huge = spark.createDataFrame([(0, [1e301]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="beyond 64 bits"):
+        topk.search(huge, F.col("vec_id") == 0)
+
+
 def test_repeated_vectors_are_candidates_of_each_other(spark):
     frame = spark.createDataFrame([(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.0])], "vec_id long, embedding array<float>")
     got = sorted((r["rank"], r["vec_id"], r["score"]) for r in topk.search(frame, F.col("vec_id") == 0).collect())

@@ -313,7 +313,9 @@ def sorted_suffixes(text: np.ndarray, folder: str, name: str = "t", memory: int
 
 
 def equal_starts(text: np.ndarray, length: int, folder: str, visit: Callable[[np.ndarray, np.ndarray], None], memory: int = 4_000_000) -> None:
-    """Calls ``visit(positions, class)`` with batches; equal classes share their first ``length`` (at most CAP) symbols."""
+    """Calls ``visit(positions, class)`` with batches; equal classes share their first ``length`` symbols."""
+    if length > CAP:
+        raise ValueError(f"prefixes are told apart up to {CAP} symbols, not {length}")
     last = 0
     for positions, shared in sorted_suffixes(text, folder, memory=memory):
         classes = last + np.cumsum(shared < length)
