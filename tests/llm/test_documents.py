@@ -367,48 +367,70 @@ def test_base_scores_equal_brute_force(spark, docs):
     assert only["train_tokens"] == 0 and only["base_score"] == 0 and only["score"] == 0
 
 
-def test_automaton_is_a_distribution_in_every_state():
-    counts = np.array([50, 30, 20, 10])
-    words = np.array([11, 22, 33, 44])
-    grams = [{(0, 1): 12, (1, 2): 9, (2, 0): 5, (5, 0): 8}, {(0, 1, 2): 6, (5, 0, 1): 3}]
-    total, vocabulary = 115, 6  # five tokens of two rare words
-    model = language_model.build(words, counts, total, vocabulary, 10, grams)
-    rare = 1 - sum(10 ** p for p in model.log_p[:4])
-    for state in model.state_of.values():
-        spent, at = 0.0, state
-        while at:
-            spent += model.fail_p[at]
-            at = model.fail_to[at]
-        mass = sum(10 ** model.step_many([w], state) for w in range(4)) + 10 ** spent * rare
-        assert math.isclose(mass, 1, rel_tol=1e-9), state
-
-
-def test_traversal_equals_the_recursion():
-    grams = [{(0, 1): 12, (1, 2): 9, (2, 0): 5}, {(0, 1, 2): 6}]
-    model = language_model.build(np.array([11, 22, 33]), np.array([50, 30, 20]), 100, 3, 10, grams)
-    one = sum(model.step_many([w], s) for w, s in zip([0, 1, 2], [model.start_state, model.state_of[0,], model.state_of[0, 1]]))
-    assert math.isclose(model.step_many([0, 1, 2], model.start_state), one)
-
-
-def test_scores_equal_the_automaton(spark, docs):
-    """Every n-gram that occurs twice is an arc, whatever its share; with a high share nearly all are looked up by joins."""
-    rng = random.Random(4)
-    words = ["w%d" % min(rng.randrange(1, 40), rng.randrange(1, 40)) for _ in range(40)]
-    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(25))) + f" once{k}" * (k % 3) for k in range(150)]
-    train = [[b"\r", *t.encode().split(), b"\n"] for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1]
+def backoff_model(train, order):
+    """The model as a recursion over counts, and its vocabulary."""
     n = Counter(w for t in train for w in t[1:])
-    twice = sorted(w for w in n if n[w] > 1)
-    number = {**{w: i for i, w in enumerate(twice)}, b"\r": len(twice) + 1}
-    grams = [Counter(tuple(map(number.get, t[i:i + k])) for t in train for i in range(len(t) - k + 1)) for k in (2, 3)]
-    grams = [{g: c for g, c in kept.items() if c > 1 and None not in g} for kept in grams]
     total = sum(n.values())
-    model = language_model.build(np.array([language_model.word_hash(w) for w in twice]), np.array([n[w] for w in twice]), total, len(n), len(train), grams)
-    for share in (1e-6, 0.02, 1.0):
-        for r in language_model.score(docs(texts), share=share).collect():
-            own = [*texts[r["doc_id"]].encode().split(), b"\n"]
-            want = model.step_many([number.get(w, len(twice)) for w in own], model.start_state)
-            want += sum(math.log10((n[w] + 0.5) / (total + 0.5 * (len(n) + 1))) for w in own if w not in number)
-            assert math.isclose(r["score"], want, rel_tol=1e-9), (share, r)
+    counts = Counter({(w,): c for w, c in n.items()}) + Counter({(b"\r",): len(train)})
+    for k in range(2, order + 1):
+        found = Counter(tuple(t[i:i + k]) for t in train for i in range(len(t) - k + 1))
+        counts.update({g: c for g, c in found.items() if c > 1})
+    after = {}
+    for g in counts:
+        if len(g) > 1:
+            after.setdefault(g[:-1], []).append(counts[g])
+
+    def p(context, w):
+        if not context:
+            return (n[w] + 0.5) / (total + 0.5 * (len(n) + 1))
+        g, seen = (*context, w), after.get(context)
+        if not seen:
+            return p(context[1:], w)
+        free = max(1e-12, 1 - sum(c - 0.75 for c in seen) / counts[context])
+        return (counts[g] - 0.75) / counts[context] + free * p(context[1:], w) if g in counts else free * p(context[1:], w)
+
+    return p, n
+
+
+def random_texts(seed):
+    rng = random.Random(seed)
+    words = ["w%d" % min(rng.randrange(1, 40), rng.randrange(1, 40)) for _ in range(40)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(25))) + f" once{k}" * (k % 3) for k in range(150)]
+    return [*texts, None, "", texts[7], texts[7]]
+
+
+@pytest.mark.parametrize("order, block_bytes, bucket_tokens", [(3, 1 << 24, 1 << 19), (3, 300, 40), (3, 1, 7), (1, 900, 300), (2, 900, 300), (4, 900, 300)])
+def test_scores_equal_the_recursion(spark, docs, order, block_bytes, bucket_tokens):
+    """Whatever the size of blocks and buckets; with small buckets most contexts are dealt over several of them."""
+    texts = random_texts(4)
+    tokens = [[b"\r", *(t or "").encode().split(), b"\n"] for t in texts]
+    p, _ = backoff_model([t for i, t in enumerate(tokens) if zlib.crc32(str(i).encode()) % 5 != 1], order)
+    got = language_model.score(docs(texts), order=order, block_bytes=block_bytes, bucket_tokens=bucket_tokens).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(len(texts)))
+    for r in got:
+        t = tokens[r["doc_id"]]
+        want = sum(math.log10(p(tuple(t[max(0, i - order + 1):i]), t[i])) for i in range(1, len(t)))
+        assert math.isclose(r["score"], want, rel_tol=1e-9), r
+
+
+def test_the_model_is_a_distribution_in_every_state():
+    train = [[b"\r", *(t or "").encode().split(), b"\n"] for t in random_texts(5)]
+    p, n = backoff_model(train, 3)
+    for context in [(), (b"\r",), *{tuple(t[i:i + 2]) for t in train[:20] for i in range(len(t) - 2)}]:
+        assert math.isclose(sum(p(context, w) for w in [*n, b"never seen"]), 1, rel_tol=1e-9), context
+
+
+def test_repeated_rows_and_rows_without_an_id_are_each_scored(spark, docs):
+    rows = language_model.score(docs(["a b", "a b", "a b", "a  B", None], [None, 7, 7, 8, None])).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"]) for r in rows) == [
+        (False, 7, 3), (False, 7, 3), (False, 8, 3), (True, 0, 1), (True, 0, 3)]
+    assert len({r["score"] for r in rows if r["n_tokens"] == 3}) == 1
+
+
+def test_packed_numbers_come_back():
+    for values in ([], [0], [1, 255, 256], [2 ** 64 - 1, 0], range(3000)):
+        values = np.array(values, dtype=np.uint64)
+        assert (language_model._unpack(language_model._pack(values)) == values).all()
 
 
 def test_a_large_corpus_keeps_what_occurs_twice(spark, docs):

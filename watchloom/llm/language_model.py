@@ -1,48 +1,56 @@
 """Language-model scores by a weighted backoff automaton.
 
-The automaton's states are the empty context and the kept n-grams shorter than
-``ORDER``; arcs carry log-probabilities, failure arcs the backoff weight of a state.
-Where a state has no arc for the next word, its failure arc is paid and the shorter
-context tried.
-
-Every word of the corpus is counted, and every n-gram that occurs ``MIN_COUNT`` times
-is an arc, at any size of the corpus: words, n-grams, probabilities and backoff
-weights are Spark tables by hashed key. An n-gram is the pair of the keys of its
-parts without the last and without the first word, and its own key hashes that pair.
-
-A document's score is a sum over the keys of its n-grams. Every word pays its unigram
-probability and, as the context of what follows, its backoff weight; every n-gram that
-is an arc pays its backoff weight, and what its arc has over the failure path. So one
-join on the key and one sum by row score all documents. Keys whose share of the training
-tokens reaches ``SHARE`` travel to the tasks instead of being joined, at most ``1 / SHARE``
-for each order; the share decides where a key is looked up, never whether it counts.
-
-Probabilities are interpolated absolute discounting over an add-half unigram
-distribution, so they sum to one in every state. ``Automaton`` is the same model
-traversed in one process.
+The automaton's states are the empty context and the n-grams shorter than ``ORDER``; arcs
+carry log-probabilities, failure arcs the backoff weight of a state. Where a state has no
+arc for the next word, its failure arc is paid and the shorter context tried. One
+left-to-right traversal of a document carries the state and adds up what is paid.
+
+Every word of the corpus is counted, and every n-gram that occurs ``MIN_COUNT`` times in
+the training texts is an arc, at any size of the corpus. The model is never in one place.
+Texts are cut into blocks of documents. For each order, a block sends its different
+n-grams, grouped by context, to buckets; a bucket adds up all blocks' counts and answers
+each block with the counts of its own n-grams and the sums of their contexts. With these
+a block has all arcs and failure arcs that its texts can take, and walks them. N-grams of
+the next order are sent only where both parts occur ``MIN_COUNT`` times, which all of those
+that can be arcs do.
+
+A context that holds a large share of the corpus is dealt over several buckets by the word
+that follows; blocks then ask all of them for their part of the context's sums.
+
+Probabilities are interpolated absolute discounting over an add-half unigram distribution,
+so they sum to one in every state.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
+import struct
 from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchloom.llm.common import document_bytes, materialise, rows_of
 
 ORDER = 3
-SHARE = 1e-6
 MIN_COUNT = 2
 DISCOUNT = 0.75
 HELD_OUT = (5, 1)  # crc32(doc_id as text) mod 5 = 1 is only scored
 END, START = b"\n", b"\r"  # no word holds white space
-_FLUSH = 500_000
+BLOCK_BYTES = 16 << 20  # text of a block; a longer document is a block of its own
+BUCKET_TOKENS = 1 << 19  # tokens of the corpus for each bucket
+_BLOCK = "block long, ids array<long>, held array<boolean>, sizes array<int>, words binary, tokens binary, n_tokens long"
+_ASKED = "bucket int, block long, asked binary"
+_ANSWER = "block long, level int, bucket int, n_words long, n_tokens long, answer binary"
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def word_hash(word: bytes) -> int:
@@ -55,154 +63,6 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == rest, F.lit(False))
 
 
-def _summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _batch(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], ["key", "n"])
-
-
-def word_counts(train: DataFrame) -> DataFrame:
-    """(key, n) of every word of the training texts, and of the end; counted in the task before they are shuffled."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = _batch(np.array([word_hash(w) for w in counts], dtype=np.int64), np.array(list(counts.values()), dtype=np.int64))
-            counts.clear()
-            return out
-
-        for (texts,) in rows_of(batches, "text"):
-            for text in texts:
-                counts.update(text.lower().split())
-                counts[END] += 1
-                if len(counts) > _FLUSH:
-                    yield flush()
-        yield flush()
-
-    return _summed(train.mapInArrow(run, "key long, n long"))
-
-
-class Automaton:
-    """States are numbered; state 0 is the empty context. Words are numbered by their key's place in ``words``."""
-
-    def __init__(self, words: np.ndarray, log_p: np.ndarray) -> None:
-        self.number = {k: i for i, k in enumerate(words.tolist())}
-        self.width = len(words) + 1
-        self.log_p = [*log_p.tolist(), 0.0]  # a rare word's probability is added later
-        self.arcs: list[dict[int, int]] = [{}]  # by order: state * width + word -> arc
-        self.arc_p: list[float] = []
-        self.arc_to: list[int] = []
-        self.fail_p, self.fail_to = [0.0], [0]
-        self.state_of: dict[tuple[int, ...], int] = {(): 0}
-        self.arc: dict[int, int] = {}
-
-    def step_many(self, numbers: list[int], state: int) -> float:
-        """Log-probability of the words, one traversal."""
-        total, width, arc, arc_p, arc_to = 0.0, self.width, self.arc, self.arc_p, self.arc_to
-        fail_p, fail_to, log_p = self.fail_p, self.fail_to, self.log_p
-        get, rare = arc.get, width - 1
-        for w in numbers:
-            if w == rare:
-                while state:
-                    total += fail_p[state]
-                    state = fail_to[state]
-                continue
-            found = get(state * width + w)
-            while found is None:
-                if not state:
-                    break
-                total += fail_p[state]
-                state = fail_to[state]
-                found = get(state * width + w)
-            if found is None:
-                total += log_p[w]
-            else:
-                total += arc_p[found]
-                state = arc_to[found]
-        return total
-
-
-def build(words: np.ndarray, n: np.ndarray, total: int, vocabulary: int, starts: int, grams: list[dict[tuple[int, ...], int]]) -> Automaton:
-    """The automaton of the frequent words (keys, counts) and the kept n-grams of each order from two."""
-    base = np.log10(n + 0.5) - math.log10(total + 0.5 * (vocabulary + 1)) if len(words) else np.zeros(0)
-    made = Automaton(words, base)
-    start = made.width  # number of the start symbol in contexts
-    made.start_state = 0
-    unigram = 10.0 ** base
-    counts: dict[tuple[int, ...], int] = {(i,): int(c) for i, c in enumerate(n.tolist())}
-    counts[(start,)] = starts
-    for kept in grams:
-        counts.update(kept)
-    contexts = sorted({g[:-1] for kept in grams for g in kept}, key=len)
-    probability: dict[tuple[int, ...], float] = {}
-    backoff: dict[tuple[int, ...], float] = {}
-    by_context: dict[tuple[int, ...], list[tuple[int, ...]]] = {}
-    for kept in grams:
-        for g in kept:
-            by_context.setdefault(g[:-1], []).append(g)
-
-    def of(context: tuple[int, ...], w: int) -> float:
-        g = (*context, w)
-        if g in probability:
-            return probability[g]
-        if not context:
-            return float(unigram[w])
-        return backoff.get(context, 1.0) * of(context[1:], w)
-
-    for context in contexts:
-        seen, size = by_context[context], counts[context]
-        backoff[context] = max(1e-12, 1 - sum(counts[g] - DISCOUNT for g in seen) / size)
-        for g in seen:
-            probability[g] = (counts[g] - DISCOUNT) / size + backoff[context] * of(context[1:], g[-1])
-        made.state_of[context] = len(made.fail_p)
-        made.fail_p.append(math.log10(backoff[context]))
-        made.fail_to.append(0)
-    for context, state in made.state_of.items():
-        rest = context[1:]
-        while rest and rest not in made.state_of:
-            rest = rest[1:]
-        made.fail_to[state] = made.state_of[rest]
-    # A word without a state of its own needs no arc: it leads to the empty context at its unigram weight.
-    for i in range(len(words)):
-        if (i,) in made.state_of:
-            made.arc[i] = len(made.arc_p)
-            made.arc_p.append(float(base[i]))
-            made.arc_to.append(made.state_of[i,])
-    longest = len(grams)
-    for g, p in probability.items():
-        target = g[-longest:] if longest else ()
-        while target and target not in made.state_of:
-            target = target[1:]
-        made.arc[made.state_of[g[:-1]] * made.width + g[-1]] = len(made.arc_p)
-        made.arc_p.append(math.log10(p))
-        made.arc_to.append(made.state_of[target])
-    made.start_state = made.state_of.get((start,), 0)
-    return made
-
-
-_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (
-    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-
-
-def _turned(x: np.ndarray, bits: int) -> np.ndarray:
-    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
-
-
-def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Spark's ``xxhash64(left, right)`` of two arrays of longs."""
-    out = np.full(len(left), 42, dtype=np.uint64)
-    for x in (left, right):
-        out = (out + (_P5 + np.uint64(8))) ^ (_turned(x.view(np.uint64) * _P2, 31) * _P1)
-        out = _turned(out, 27) * _P1 + _P4
-        out = (out ^ (out >> np.uint64(33))) * _P2
-        out = (out ^ (out >> np.uint64(29))) * _P3
-        out = out ^ (out >> np.uint64(32))
-    return out.view(np.int64)
-
-
 class _Keys(dict):
     """Word to its key. Bounded."""
 
@@ -213,163 +73,356 @@ class _Keys(dict):
         return key
 
 
-_START_KEY, _END_KEY = word_hash(START), word_hash(END)
+_START_KEY, _END_KEY = (np.array([word_hash(w)], dtype=np.int64).view(np.uint64)[0] for w in (START, END))
+
+
+def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """64-bit keys of pairs of 64-bit keys."""
+    out = left * np.uint64(0x9E3779B97F4A7C15) + (right ^ (right >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        out = (out ^ (out >> np.uint64(shift))) * np.uint64(factor)
+    return out ^ (out >> np.uint64(31))
+
+
+_FOLLOWER_BITS = np.uint64(48)  # of a word's key, beside a context's whole key
 
 
-def _read(texts: list[bytes], keys: _Keys) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the start, the words and the end of each text, one after the other, and how many each text has."""
-    out: list[int] = []
-    sizes = []
-    for text in texts:
-        found = text.lower().split()
-        out.append(_START_KEY)
-        out.extend(map(keys.__getitem__, found))
-        out.append(_END_KEY)
-        sizes.append(len(found) + 2)
-    return np.array(out, dtype=np.int64), np.array(sizes, dtype=np.int64)
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0, byte by byte of all of them, compressed."""
+    values = np.ascontiguousarray(values, dtype="<u8")
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return struct.pack("<qb", len(values), width) + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
 
 
-def _longer(part: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(left, right, place) of the n-grams one word longer than those with the keys ``part`` at the places ``at``."""
-    follows = np.flatnonzero(at[1:] == at[:-1] + 1)
-    return part[follows], part[follows + 1], at[follows]
+def _unpack(packed: bytes) -> np.ndarray:
+    n, width = struct.unpack_from("<qb", packed)
+    out = np.zeros((n, 8), dtype=np.uint8)
+    if n:
+        planes = pa.decompress(packed[9:], n * width, codec="zstd", asbytes=True)
+        out[:, :width] = np.frombuffer(planes, dtype=np.uint8).reshape(width, n).T
+    return out.reshape(-1).view("<u8")
 
 
-def _bigrams(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    at = np.flatnonzero(words[:-1] != _END_KEY)
-    return words[at], words[at + 1], at
+def _join(*parts: np.ndarray) -> bytes:
+    packed = [_pack(p) for p in parts]
+    return b"".join(struct.pack("<q", len(p)) + p for p in packed)
 
 
-def gram_counts(train: DataFrame, order: int) -> DataFrame:
-    """(left, right, n) of the n-grams of ``order`` that occur at least ``MIN_COUNT`` times."""
+def _split(joined: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(joined):
+        size, = struct.unpack_from("<q", joined, at)
+        out.append(_unpack(joined[at + 8:at + 8 + size]))
+        at += 8 + size
+    return out
+
+
+def blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """The rows in blocks: words numbered by how often they are in the block, texts as such numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = _Keys()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+        keys, made, size = _Keys(), 0, 0
+        held: tuple[list, list, list, list] = ([], [], [], [])
+        task = TaskContext.get().partitionId()
 
         def flush() -> pa.RecordBatch:
-            left, right = (np.concatenate(x) for x in zip(*held))
-            _, first, n = np.unique(pair_hash(left, right), return_index=True, return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(left[first]), pa.array(right[first]), pa.array(n, pa.int64())], ["left", "right", "n"])
-
-        for (texts,) in rows_of(batches, "text", at_most=64):
-            left, right, at = _bigrams(_read(texts, keys)[0])
-            for _ in range(order - 2):
-                left, right, at = _longer(pair_hash(left, right), at)
-            held.append((left, right))
-            size += len(left)
-            if size > 4 * _FLUSH:
-                yield flush()
-                size = 0
-        if held:
+            ids, flags, sizes, words = held
+            found, at, n = np.unique(np.concatenate(words), return_inverse=True, return_counts=True)
+            order = np.argsort(-n, kind="stable")
+            number = np.empty(len(order), dtype=np.int64)
+            number[order] = np.arange(len(order))
+            row = {"block": (task << 32) + made, "ids": list(ids), "held": list(flags), "sizes": list(sizes),
+                   "words": _pack(found[order].view(np.uint64)), "tokens": _pack(number[at]), "n_tokens": len(at)}
+            for part in held:
+                part.clear()
+            return pa.RecordBatch.from_pylist([row], schema=schema)
+
+        for ids, texts, flags in rows_of(batches, "doc_id", "text", "held_out", at_most=64):
+            for doc_id, text, flag in zip(ids, texts, flags):
+                if size and size + len(text) > block_bytes:
+                    yield flush()
+                    made, size = made + 1, 0
+                found = np.fromiter(map(keys.__getitem__, (START, *text.lower().split(), END)), dtype=np.int64)
+                for part, value in zip(held, (doc_id, flag, len(found), found)):
+                    part.append(value)
+                size += len(text) + 1
+        if size:
             yield flush()
 
-    found = train.mapInArrow(run, "left long, right long, n long")
-    return found.groupBy("left", "right").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT)
+    schema = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())),
+                        ("words", pa.binary()), ("tokens", pa.binary()), ("n_tokens", pa.int64())])
+    return rows.mapInArrow(run, _BLOCK)
+
+
+@dataclass
+class Level:
+    """The n-grams of one order in a block."""
+
+    key: np.ndarray  # as contexts
+    last: np.ndarray  # number of the last word
+    left: np.ndarray  # the n-gram without its last word, in the level before
+    right: np.ndarray  # the n-gram without its first word, likewise
+    at: np.ndarray  # n-gram that starts at each place of the block, or -1
+    own: np.ndarray  # occurrences in the block's training texts
+    n: np.ndarray | None = None  # in all training texts
+    followed: np.ndarray | None = None  # as a context: occurrences of the n-grams kept, and how many those are
+    followers: np.ndarray | None = None
+
+
+class Block:
+    """A block's texts and what the buckets have answered so far."""
+
+    def __init__(self, row: dict, buckets: int, total: int) -> None:
+        self.ids, self.held, self.sizes = row["ids"], row["held"], np.array(row["sizes"], dtype=np.int64)
+        self.buckets, self.total = buckets, max(1, total)
+        words, tokens = _unpack(row["words"]), _unpack(row["tokens"]).astype(np.int64)
+        self.train = np.repeat(~np.array(self.held, dtype=bool), self.sizes)
+        everything = np.arange(len(words))
+        self.end = int(np.flatnonzero(words == _END_KEY)[0])
+        self.levels = [Level(words, everything, everything, everything, tokens, np.bincount(tokens[self.train], minlength=len(words)))]
+
+    def _next(self) -> Level:
+        """N-grams of the next order, both parts of which are kept."""
+        low = self.levels[-1]
+        first, second = low.at[:-1], low.at[1:]
+        places = np.flatnonzero((first >= 0) & (second >= 0) & ((first != self.end) if len(self.levels) == 1 else True))
+        code, at = np.unique(first[places] * len(low.key) + second[places], return_inverse=True)
+        left, right = np.divmod(code, max(1, len(low.key)))
+        where = np.full(len(low.at), -1, dtype=np.int64)
+        where[places] = at
+        own = np.bincount(at[self.train[places]], minlength=len(code))
+        words = self.levels[0].key
+        return Level(_mixed(low.key[left], words[low.last[right]]), low.last[right], left, right, where, own)
+
+    def _dealt(self, level: int) -> tuple[Level, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Which contexts and n-grams go to which buckets, both in order of bucket and context."""
+        if level == 1:
+            grams, context = self.levels[0], self.levels[0]
+            follower = np.zeros(len(grams.key), dtype=np.uint64)
+            listed = np.arange(len(grams.key))
+            spread = np.ones(len(grams.key), dtype=np.int64)
+        else:
+            grams, context = self._next(), self.levels[-1]
+            follower = self.levels[0].key[grams.last] >> (np.uint64(64) - _FOLLOWER_BITS)
+            listed = np.flatnonzero(context.last != self.end)
+            spread = np.minimum(self.buckets, 1 + (4.0 * self.buckets / self.total * context.n).astype(np.int64))
+        order = np.argsort(context.key, kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        home = (context.key % np.uint64(self.buckets)).astype(np.int64)
+        times = spread[listed]
+        lists = np.repeat(listed, times)
+        salt = np.arange(len(lists)) - np.repeat(np.cumsum(times) - times, times)
+        width = max(1, len(context.key))
+        list_place = (home[lists] + salt) % self.buckets * width + rank[lists]
+        turn = np.argsort(list_place, kind="stable")
+        lists, list_place = lists[turn], list_place[turn]
+        gram_place = (home[grams.left] + (follower % spread[grams.left].astype(np.uint64)).astype(np.int64)) % self.buckets * width + rank[grams.left]
+        turn = np.argsort(gram_place, kind="stable")
+        return grams, follower, lists, list_place, turn, gram_place[turn], np.arange(self.buckets + 1) * width
+
+    def ask(self, level: int) -> Iterator[tuple[int, bytes]]:
+        """(bucket, question) for the n-grams of the order ``level``."""
+        grams, follower, lists, list_place, turn, gram_place, borders = self._dealt(level)
+        context = self.levels[-1]
+        each = np.searchsorted(gram_place, list_place, "right") - np.searchsorted(gram_place, list_place, "left")
+        from_list, from_gram = np.searchsorted(list_place, borders), np.searchsorted(gram_place, borders)
+        for b in np.flatnonzero(np.diff(from_list)).tolist():
+            keys = context.key[lists[from_list[b]:from_list[b + 1]]]
+            mine = turn[from_gram[b]:from_gram[b + 1]]
+            gaps = np.diff(keys, prepend=np.uint64(0))
+            yield b, _join(gaps, each[from_list[b]:from_list[b + 1]], follower[mine] if level > 1 else mine[:0], grams.own[mine])
+
+    def hear(self, level: int, answers: list[bytes]) -> None:
+        """Takes the answers on the order ``level``, in order of the buckets."""
+        grams, _, lists, _, turn, _, _ = self._dealt(level)
+        heard = [_split(a) for a in answers]
+        n, followed, followers = (np.concatenate([h[k] for h in heard] or [np.zeros(0, dtype=np.uint64)]).astype(np.int64) for k in range(3))
+        if level == 1:
+            grams.n = np.zeros(len(grams.key), dtype=np.int64)
+            grams.n[lists] = followed
+            return
+        context = self.levels[-1]
+        context.followed, context.followers = np.zeros((2, len(context.key)), dtype=np.int64)
+        np.add.at(context.followed, lists, followed)
+        np.add.at(context.followers, lists, followers)
+        grams.n = np.zeros(len(grams.key), dtype=np.int64)
+        grams.n[turn] = n
+        kept = grams.n > 0
+        number = np.append(np.where(kept, np.cumsum(kept) - 1, -1), -1)
+        self.levels.append(Level(
+            grams.key[kept], grams.last[kept], grams.left[kept], grams.right[kept], number[grams.at], grams.own[kept], grams.n[kept]))
+
+    def walk(self, norm: float) -> Iterator[tuple[float, float, int]]:
+        """(base score, score, known words) of every document, by one traversal each."""
+        words = self.levels[0]
+        low_p = (words.n + 0.5) / norm
+        base, known = np.log10(low_p)[words.at], (words.n > 0)[words.at]
+        arcs, fails = [base], [base]  # the empty context has an arc for every word
+        low = words
+        for k, level in enumerate(self.levels[1:], 1):
+            weight = np.ones(len(low.key))
+            led = low.followers > 0
+            weight[led] = np.maximum(1e-12, 1 - (low.followed[led] - DISCOUNT * low.followers[led]) / low.n[led])
+            p = (level.n - DISCOUNT) / low.n[level.left] + weight[level.left] * low_p[level.right]
+            # By place of the next word: the arc of the context of k words, and its failure arc.
+            arc, fail = np.full(len(words.at), np.nan), np.zeros(len(words.at))
+            there = np.flatnonzero(level.at >= 0)
+            arc[there + k] = np.log10(p)[level.at[there]]
+            there = np.flatnonzero(low.at >= 0)
+            there = there[there + k < len(fail)]
+            fail[there + k] = np.log10(weight)[low.at[there]]
+            arcs.append(arc)
+            fails.append(fail)
+            low, low_p = level, p
+        longest = len(self.levels) - 1
+        start = 0
+        for size in self.sizes.tolist():
+            own = slice(start + 1, start + size)
+            arc, fail = [a[own].tolist() for a in arcs], [f[own].tolist() for f in fails]
+            score, state = 0.0, min(1, longest)
+            for i in range(size - 1):
+                paid = arc[state][i]
+                while paid != paid:  # no arc
+                    score += fail[state][i]
+                    state -= 1
+                    paid = arc[state][i]
+                score += paid
+                if state < longest:
+                    state += 1
+            yield float(base[own].sum()), score, int(known[own].sum())
+            start += size
+
+
+def add_up(level: int, bucket: int, ids: list[int], asked: list[bytes]) -> pa.Table:
+    """A bucket's answers: counts of the n-grams (zero where not kept), and the sums of their contexts."""
+    questions = [_split(a) for a in asked]
+    keys = [np.cumsum(q[0], dtype=np.uint64) for q in questions]
+    context, context_at = np.unique(np.concatenate(keys), return_inverse=True)
+    each = np.concatenate([q[1] for q in questions]).astype(np.int64)
+    own = np.concatenate([q[3] for q in questions]).astype(np.int64)
+    of = np.repeat(context_at, each)
+    if level == 1:
+        gram_at, first = of, np.zeros(len(context), dtype=np.int64)
+        first[of] = np.arange(len(of))
+    else:
+        _, first, gram_at = np.unique(_mixed(context[of], np.concatenate([q[2] for q in questions])), return_index=True, return_inverse=True)
+    n = np.bincount(gram_at, weights=own, minlength=len(first)).astype(np.int64)
+    n[n < (MIN_COUNT if level > 1 else 1)] = 0
+    followed = np.bincount(of[first], weights=n, minlength=len(context)).astype(np.int64)
+    followers = np.bincount(of[first], weights=n > 0, minlength=len(context)).astype(np.int64)
+    sums = (0, 0)
+    if level == 1:
+        real = context != _START_KEY
+        sums = (int((real & (followed > 0)).sum()), int(followed[real].sum()))
+    answers, list_end, gram_end = [], 0, 0
+    for k, q in enumerate(questions):
+        lists, grams = slice(list_end, list_end + len(q[0])), slice(gram_end, gram_end + len(q[3]))
+        list_end, gram_end = lists.stop, grams.stop
+        counts = n[gram_at[grams]] if level > 1 else n[:0]
+        answers.append(_join(counts, followed[context_at[lists]], followers[context_at[lists]] if level > 1 else n[:0]))
+    rows = len(ids)
+    return pa.table({
+        "block": pa.array(ids, pa.int64()), "level": pa.array([level] * rows, pa.int32()), "bucket": pa.array([bucket] * rows, pa.int32()),
+        **{c: pa.array([v] + [0] * (rows - 1), pa.int64()) for c, v in zip(("n_words", "n_tokens"), sums)},
+        "answer": pa.array(answers, pa.binary())})
+
+
+@contextmanager
+def _freeing(spark: SparkSession):
+    """Shuffle files go as soon as the table that needs them is written."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def _read(table: pa.Table, heard: pa.Table | None, level: int, buckets: int, total: int) -> Iterator[Block]:
+    """The blocks of ``table``, told what was answered on the orders below ``level``."""
+    for row in table.to_pylist():
+        block = Block(row, buckets, total)
+        for k in range(1, level):
+            mine = heard.filter(pc.equal(heard["level"], k)).sort_by("bucket")
+            block.hear(k, mine["answer"].to_pylist())
+        yield block
+
+
+def _questions(level: int, buckets: int, total: int):
+    def run(table: pa.Table, heard: pa.Table | None = None) -> pa.Table:
+        out = [(b, number, asked) for number, block in zip(table["block"].to_pylist(), _read(table, heard, level, buckets, total))
+               for b, asked in block.ask(level)]
+        columns = zip(*out) if out else ((), (), ())
+        return pa.table({name: pa.array(c, t) for name, c, t in zip(
+            ("bucket", "block", "asked"), columns, (pa.int32(), pa.int64(), pa.binary()))})
+
+    return run
+
+
+def _first_questions(buckets: int, total: int):
+    ask = _questions(1, buckets, total)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from ask(pa.Table.from_batches([batch.slice(k, 1)])).to_batches()
 
+    return run
 
-def _with_backoff(level: DataFrame, longer: DataFrame | None, name: str) -> DataFrame:
-    """``level`` with the backoff weight of its n-grams as contexts of the n-grams ``longer``; one where they are none."""
-    if longer is None:
-        return materialise(level.withColumn("backoff", F.lit(1.0)), name)
-    used = longer.groupBy(F.col("left").alias("key")).agg(F.sum(F.col("n") - F.lit(DISCOUNT)).alias("used"))
-    weight = F.greatest(F.lit(1e-12), F.lit(1.0) - F.coalesce("used", F.lit(0.0)) / F.col("n"))
-    return materialise(level.join(used, "key", "left").withColumn("backoff", weight).drop("used"), name)
 
+def _answers(level: int):
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        return add_up(level, key[0].as_py(), group["block"].to_pylist(), group["asked"].to_pylist())
 
-def arcs(counts: DataFrame, grams: list[DataFrame], total: int, vocabulary: int, starts: int) -> DataFrame:
-    """(key, n, base, extra, known) of every word and kept n-gram: what it adds to the scores.
+    return run
 
-    ``base`` is a word's log-count over that of an unknown word; ``extra`` an n-gram's
-    backoff weight and what its arc has over the failure path, as logarithms.
-    """
-    norm = total + 0.5 * (vocabulary + 1)
-    spark = counts.sparkSession
-    start = spark.range(1 if starts else 0).select(F.lit(_START_KEY).alias("key"), F.lit(starts).cast("long").alias("n"), F.lit(0).alias("known"))
-    level = counts.select("key", "n", F.lit(1).alias("known")).unionByName(start).withColumn("p", (F.col("n") + F.lit(0.5)) / F.lit(norm))
-    level = level.withColumn("over", F.lit(0.0))
-    out = []
-    for k, longer in enumerate([*grams, None]):
-        level = _with_backoff(level, longer, f"lm-level-{k + 1}")
-        base = F.when(F.col("known") == 1, F.log10(F.col("n") + F.lit(0.5)) - F.lit(math.log10(0.5))).otherwise(0.0)
-        out.append(level.select("key", "n", base.alias("base"), (F.col("over") + F.log10("backoff")).alias("extra"), "known"))
-        if longer is None:
-            break
-        context = level.select(F.col("key").alias("left"), F.col("n").alias("size"), "backoff")
-        rest = level.select(F.col("key").alias("right"), F.col("p").alias("rest"))
-        p = (F.col("n") - F.lit(DISCOUNT)) / F.col("size") + F.col("backoff") * F.col("rest")
-        level = longer.join(context, "left").join(rest, "right").select(
-            F.xxhash64("left", "right").alias("key"), "n", F.lit(0).alias("known"), p.alias("p"),
-            (F.log10(p) - F.log10("backoff") - F.log10("rest")).alias("over"))
-    made = out[0]
-    for more in out[1:]:
-        made = made.unionByName(more)
-    return made
-
-
-def score(docs: DataFrame, order: int = ORDER, share: float = SHARE) -> DataFrame:
+
+def _walks(order: int, buckets: int, total: int, tokens: int, norm: float):
+    def run(table: pa.Table, heard: pa.Table) -> pa.Table:
+        rows = []
+        for block in _read(table, heard, order + 1, buckets, total):
+            for doc_id, held, size, (base, score, known) in zip(block.ids, block.held, block.sizes.tolist(), block.walk(norm)):
+                rows.append((doc_id, held, size - 1, known, tokens, base, score))
+        types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        return pa.table({c.split()[0]: pa.array(v, t) for c, v, t in zip(_SCORES.split(", "), zip(*rows) if rows else [()] * 7, types)})
+
+    return run
+
+
+def _together(made: DataFrame, answers: list[DataFrame], run, schema: str) -> DataFrame:
+    """``run`` on each block and the answers to it."""
+    heard = reduce(DataFrame.unionByName, answers).select("block", "level", "bucket", "answer")
+    return made.groupBy("block").cogroup(heard.groupBy("block")).applyInArrow(run, schema)
+
+
+def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
     """Score every row of ``docs`` by a model of the rows that are not held out.
 
     Returns (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score),
-    the scores in log10. A null or empty text is its end alone. Rows without a doc_id
+    the scores in log10. A null or empty text is its end alone; a text of any length is
+    walked whole, in a block of its own if longer than ``block_bytes``. Rows without a doc_id
     are trained on and scored; repeated rows count and are scored each. Where nothing
     is left to learn from, every token has probability one. Only ``doc_id`` and
     ``text`` are read, so further columns may have any name. An empty table gives no row.
     """
     spark = docs.sparkSession
-    rows = document_bytes(docs).withColumn("held_out", held_out())
-    train = rows.filter("not held_out").select("text")
-    counts = materialise(word_counts(train), "lm-words")
-    totals = counts.agg(F.sum("n"), F.count("*")).first()
-    total, vocabulary = totals[0] or 0, totals[1]
-    end = counts.filter(F.col("key") == _END_KEY).first()
-    starts = end["n"] if end else 0
-    grams = [materialise(gram_counts(train, k), f"lm-grams-{k}") for k in range(2, order + 1)]
-    made = arcs(counts, grams, total, vocabulary, starts)
-    often = F.col("n") >= max(MIN_COUNT, math.ceil(share * total))
-    near = made.filter(often).orderBy("key").toArrow()  # at most 1 / share for each order
-    sent = spark.sparkContext.broadcast([near.column(c).to_numpy() for c in ("key", "base", "extra", "known")])
-    norm, unknown = math.log10(total + 0.5 * (vocabulary + 1)), math.log10(0.5)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_keys, *values = sent.value
-        keys = _Keys()
-        for ids, texts, held in rows_of(batches, "doc_id", "text", "held_out", at_most=64):
-            words, sizes = _read(texts, keys)
-            of = np.repeat(np.arange(len(texts)), sizes)
-            sums = np.zeros((3, len(texts)))
-            far_key, far_of = [], []
-            part, at = words, np.arange(len(words))
-            for k in range(order):
-                if k:
-                    left, right, at = _bigrams(words) if k == 1 else _longer(part, at)
-                    part = pair_hash(left, right)
-                mine = of[at]
-                place = np.searchsorted(known_keys, part)
-                place[place == len(known_keys)] = 0
-                is_near = known_keys[place] == part if len(known_keys) else np.zeros(len(part), dtype=bool)
-                for total_of, value in zip(sums, values):
-                    total_of += np.bincount(mine[is_near], weights=value[place[is_near]], minlength=len(texts))
-                far_key.append(part[~is_near])
-                far_of.append(mine[~is_near])
-            far_key, far_of = np.concatenate(far_key), np.concatenate(far_of)
-            far_key = far_key[np.argsort(far_of, kind="stable")]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(far_of, minlength=len(texts)))]).astype(np.int32)
-            columns = [
-                pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(sizes - 1), pa.array(sums[0]), pa.array(sums[1]),
-                pa.array(sums[2].astype(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(far_key, pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "base", "extra", "known", "far"])
-
-    walked = rows.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, base double, extra double, known long, far array<long>")
-    walked = materialise(walked.withColumn("row", F.monotonically_increasing_id()), "lm-walks")
-    names = ["base", "extra", "known"]
-    far = walked.select("row", F.explode("far").alias("key")).join(made.filter(~often).drop("n"), "key")
-    far = far.groupBy("row").agg(*[F.sum(c).alias(f"far_{c}") for c in names])
-    joined = walked.drop("far").join(far, "row", "left")
-    base, extra, known = (F.col(c) + F.coalesce(F.col(f"far_{c}"), F.lit(0)) for c in names)
-    base_score = base + F.col("n_tokens") * F.lit(unknown - norm)
-    return joined.select(
-        "doc_id", "held_out", "n_tokens", known.cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        base_score.alias("base_score"), (base_score + extra).alias("score"))
+    with _freeing(spark):
+        made = materialise(blocks(document_bytes(docs).withColumn("held_out", held_out()), block_bytes), "lm-blocks")
+        total = made.agg(F.sum("n_tokens")).first()[0] or 0
+        buckets = max(1, math.ceil(total / bucket_tokens))
+        answers: list[DataFrame] = []
+        for level in range(1, order + 1):
+            if level == 1:
+                asked = made.mapInArrow(_first_questions(buckets, total), _ASKED)
+            else:
+                asked = _together(made, answers, _questions(level, buckets, total), _ASKED)
+            answers.append(materialise(asked.groupBy("bucket").applyInArrow(_answers(level), _ANSWER), f"lm-answers-{level}"))
+        words, tokens = (x or 0 for x in answers[0].agg(F.sum("n_words"), F.sum("n_tokens")).first())
+        norm = tokens + 0.5 * (words + 1)
+        return materialise(_together(made, answers, _walks(order, buckets, total, tokens, norm), _SCORES), "lm-scores")
