@@ -45,7 +45,7 @@ MIN_COUNT = 2
 DISCOUNT = 0.75
 HELD_OUT = (5, 1)  # crc32(doc_id as text) mod 5 = 1 is only scored
 END, START = b"\n", b"\r"  # no word holds white space
-BLOCK_BYTES = 16 << 20  # text of a block; a longer document is a block of its own
+BLOCK_BYTES = 8 << 20  # text of a block, some 30 times as much memory; a longer document is a block of its own
 BUCKET_TOKENS = 1 << 19  # tokens of the corpus for each bucket
 _BLOCK = "block long, ids array<long>, held array<boolean>, sizes array<int>, words binary, tokens binary, n_tokens long"
 _ASKED = "bucket int, block long, asked binary"
@@ -268,11 +268,8 @@ class Block:
             p = (level.n - DISCOUNT) / low.n[level.left] + weight[level.left] * low_p[level.right]
             # By place of the next word: the arc of the context of k words, and its failure arc.
             arc, fail = np.full(len(words.at), np.nan), np.zeros(len(words.at))
-            there = np.flatnonzero(level.at >= 0)
-            arc[there + k] = np.log10(p)[level.at[there]]
-            there = np.flatnonzero(low.at >= 0)
-            there = there[there + k < len(fail)]
-            fail[there + k] = np.log10(weight)[low.at[there]]
+            arc[k:] = np.append(np.log10(p), np.nan)[level.at[:len(arc) - k]]
+            fail[k:] = np.append(np.log10(weight), 0.0)[low.at[:len(fail) - k]]
             arcs.append(arc)
             fails.append(fail)
             low, low_p = level, p
