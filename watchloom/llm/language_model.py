@@ -84,7 +84,9 @@ def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(31))
 
 
-_FOLLOWER_BITS = np.uint64(48)  # of a word's key, beside a context's whole key
+# Bits of the last word's key that an n-gram has beside its context's whole key. A context of one word may be followed by
+# a hundred million others (some 20 pairs of these would share a count), one of two or more words by a hundred thousand (0.005 pairs).
+_WORD_FOLLOWER_BITS, _FOLLOWER_BITS = np.uint64(48), np.uint64(40)
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -204,7 +206,7 @@ class Block:
             spread = np.ones(len(grams.key), dtype=np.int64)
         else:
             grams, context = self._next(), self.levels[-1]
-            follower = self.levels[0].key[grams.last] >> (np.uint64(64) - _FOLLOWER_BITS)
+            follower = self.levels[0].key[grams.last] >> (np.uint64(64) - (_WORD_FOLLOWER_BITS if level == 2 else _FOLLOWER_BITS))
             listed = np.flatnonzero(context.last != self.end)
             spread = np.minimum(self.buckets, 1 + (4.0 * self.buckets / self.total * context.n).astype(np.int64))
         order = np.argsort(context.key, kind="stable")
@@ -218,6 +220,11 @@ class Block:
         list_place = (home[lists] + salt) % self.buckets * width + rank[lists]
         turn = np.argsort(list_place, kind="stable")
         lists, list_place = lists[turn], list_place[turn]
+        if (times == 1).all():  # n-grams are in order of their contexts' numbers: whole runs move
+            run = np.bincount(grams.left, minlength=len(context.key))
+            begin, run = (np.cumsum(run) - run)[lists], run[lists]
+            turn = np.repeat(begin - np.cumsum(run) + run, run) + np.arange(int(run.sum()))
+            return grams, follower, lists, list_place, turn, np.repeat(list_place, run), np.arange(self.buckets + 1) * width
         gram_place = (home[grams.left] + (follower % spread[grams.left].astype(np.uint64)).astype(np.int64)) % self.buckets * width + rank[grams.left]
         turn = np.argsort(gram_place, kind="stable")
         return grams, follower, lists, list_place, turn, gram_place[turn], np.arange(self.buckets + 1) * width
