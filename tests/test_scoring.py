@@ -7,7 +7,7 @@ from frames import alert, at, entity, tables
 from pyspark.sql import functions as F
 
 from watchloom.config import CAPABILITY_WEIGHTS
-from watchloom.functions.ordering import position_within
+from watchloom.functions.ordering import first_by_uniform, first_within, position_within
 from watchloom.functions.quantiles import exact_quantile
 from watchloom.operators import evaluation, peers, reports, sampling, scoring
 
@@ -146,6 +146,35 @@ def _simulate(rows, drawn):
     return out
 
 
+@pytest.mark.parametrize("n", [0, 1, 10, 1500, 6000])
+def test_first_by_uniform_takes_the_smallest_numbers(spark, n):
+    rng = random.Random(n)
+    rows = [(g, rng.choice([rng.random(), 0.25, 0.0]), f"t{i}") for g, size in ((0, 5000), (1, 300), (2, 1)) for i in range(size)]
+    first = first_by_uniform(spark.createDataFrame(rows, "g int, u double, t string"), ["g"], "u", ["t"], n, "place")
+    got = {(r["g"], r["place"]): (r["u"], r["t"]) for r in first.collect()}
+    want = {(g, i): r for g in range(3) for i, r in enumerate(sorted((u, t) for h, u, t in rows if h == g)[:n], 1)}
+    assert got == want
+
+
+@pytest.mark.parametrize("n", [1, 40, 1500])
+def test_first_within_a_hot_group(spark, n):
+    rows = [(0, i * 7919 % 4001) for i in range(4001)] + [(1, 5), (1, 5)]
+    df = spark.createDataFrame(rows, "g int, v int")
+    got = sorted((r["g"], r["place"], r["v"]) for r in first_within(df, ["g"], F.col("v") % 16, [F.col("v")], n, "place").collect())
+    assert got == [(0, i + 1, i) for i in range(min(n, 4001))] + [(1, i + 1, 5) for i in range(min(n, 2))]
+
+
+@pytest.mark.parametrize("budget", [10, 1500, 6000])
+def test_no_budget_numbers_a_whole_replicate_or_entity_in_one_task(spark, budget):
+    f, ranking, _ = _sample_inputs(spark)
+    truth = f.select("target_id")
+    for df in (sampling.review_sample(f, ranking, budget), sampling.lift_over_random(f, ranking, truth, budget, 3)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        numbered = [line for line in plan.splitlines() if "row_number() windowspecdefinition" in line]
+        assert numbered and not [line for line in numbered if "windowspecdefinition(replicate" in line and "_slice" not in line]
+        assert [line for line in numbered if "windowspecdefinition(entity_id" in line and "_salt" in line]
+
+
 @pytest.mark.parametrize("k", [1, 2, 5, 20, 80])
 def test_review_sample_follows_the_sequential_rule(spark, k):
     f, ranking, rows = _sample_inputs(spark)

@@ -35,3 +35,38 @@ def position_within(
         .withColumn(out, F.row_number().over(inside) + F.col("_offset"))
         .drop("_slot", "_offset")
     )
+
+
+SLICES = 4096
+
+
+def first_by_uniform(df: DataFrame, keys: Sequence[str], u: str, order: Sequence[str], n: int, out: str = "position") -> DataFrame:
+    """The ``n`` rows of each group with the smallest ``u`` (a number in [0, 1)), ties by ``order``, with their position.
+
+    Rows are counted by slice of ``u`` first, and only the slices that start before the
+    ``n``-th row are read: at most ``n`` of a group's 4096. Rows are numbered inside a
+    slice, so however large ``n`` or a group is, neither is sorted in one task. Rows
+    with a null key or ``u`` are left out.
+    """
+    keys = list(keys)
+    sliced = df.withColumn("_slice", F.floor(F.col(u) * F.lit(SLICES)).cast("int"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    needed = (
+        sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0))).filter(F.col("_offset") < n)
+        .select(*keys, "_slice", "_offset")
+    )
+    inside = Window.partitionBy(*keys, "_slice").orderBy(u, *order)
+    return (
+        sliced.join(needed, [*keys, "_slice"])
+        .withColumn(out, F.row_number().over(inside) + F.col("_offset")).filter(F.col(out) <= n)
+        .drop("_slice", "_offset")
+    )
+
+
+def first_within(df: DataFrame, keys: Sequence[str], salt: Column, order: Sequence[Column], n: int, out: str = "position") -> DataFrame:
+    """The first ``n`` rows of each group in ``order``, with their position; taken inside (group, salt) before they meet."""
+    parted = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    part = df.withColumn("_salt", salt).withColumn(out, F.row_number().over(parted)).filter(F.col(out) <= n).drop("_salt")
+    return part.withColumn(out, F.row_number().over(whole)).filter(F.col(out) <= n)

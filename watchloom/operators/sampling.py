@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from watchloom.config import DEFAULTS, Settings
 from watchloom.functions.hashing import hash_bucket, uniform
+from watchloom.functions.ordering import first_by_uniform, first_within
 from watchloom.functions.scalars import one_row
 
 # Labels of the two parts of a sample.
 TARGETED = "Targeted (High Attention Index & Severity)"
 EXPLORATION = "Exploration (Random Baseline)"
 
+_FINDING = ["detector_id", "entity_id", "target_id"]
 _UNITS = 10_000  # the attention index has four decimals: whole units sum exactly
 _PICK = "array<struct<draw:int,detector_id:string,entity_id:string,target_id:string,severity:int>>"
 
@@ -108,11 +110,12 @@ def review_samples(
         draws = weighted_draws(ranking, n_targeted, seed, replicates, max_n=most_targeted)
         worst = [F.col("severity").desc_nulls_last(), F.col("detector_id"), F.col("target_id")]
         per_target = Window.partitionBy("entity_id", "target_id").orderBy(*worst)
-        per_entity = Window.partitionBy("entity_id").orderBy(*worst)
-        best = (
+        drawn = (
             rows.join(F.broadcast(draws.select("entity_id").distinct()), "entity_id", "left_semi")  # <= draws rows
             .withColumn("r", F.row_number().over(per_target)).filter(F.col("r") == 1)
-            .withColumn("place", F.row_number().over(per_entity)).filter(F.col("place") <= most_targeted)
+        )
+        best = (
+            first_within(drawn, ["entity_id"], hash_bucket("target_id", 2), worst, most_targeted, "place")
             .groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct(
                 "place", "detector_id", "target_id", "severity"))).alias("options"))
         )
@@ -137,10 +140,9 @@ def review_samples(
     if taken is not None:
         sampled = taken.select("replicate", "target_id")  # at most replicates x budget rows
         pool = pool.join(F.broadcast(sampled), ["replicate", "target_id"], "left_anti")
-    by_hash = Window.partitionBy("replicate").orderBy("u", "detector_id", "entity_id", "target_id")
     explored = (
-        pool.withColumn("u", u).withColumn("r", F.row_number().over(by_hash))
-        .filter(F.col("r") <= most_explore).filter(F.col("r") <= n_explore)
+        first_by_uniform(pool.withColumn("u", u), ["replicate"], "u", _FINDING, most_explore, "r")
+        .filter(F.col("r") <= n_explore)
         .select("replicate", (F.col("r") + (n_targeted - 1)).cast("int").alias("draw"), "detector_id", "entity_id",
                 "target_id", "severity", F.lit(EXPLORATION).alias("selection_reason"))
     )
@@ -164,7 +166,7 @@ def lift_over_random(
     """(random_yield, optimized_yield, lift_multiplier): planted targets hit per sample.
 
     ``truth_targets`` has a column target_id. All replicates of both samplers run as
-    one job; ranks are limited before the shuffle, so only the budget travels.
+    one job; of each replicate only the slices of random numbers travel that the budget reaches.
     """
     rows = findings.select("detector_id", "entity_id", "target_id", "severity")
     truth = truth_targets.select("target_id").distinct()
@@ -172,12 +174,8 @@ def lift_over_random(
     budget = F.least(F.lit(budget_k), available)
     u = uniform(seed, F.lit("random"), F.col("replicate"), F.col("detector_id"), F.col("entity_id"),
                 F.col("target_id"))
-    by_hash = Window.partitionBy("replicate").orderBy("u", "detector_id", "entity_id", "target_id")
-    random = (
-        rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("replicate"))
-        .withColumn("u", u).withColumn("r", F.row_number().over(by_hash)).filter(F.col("r") <= budget_k)
-        .select("replicate", "target_id")
-    )
+    pool = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("replicate")).withColumn("u", u)
+    random = first_by_uniform(pool, ["replicate"], "u", _FINDING, budget_k).select("replicate", "target_id")
     optimised = review_samples(rows, ranking, budget_k, seed, iterations, cfg, budget).select("replicate", "target_id")
     drawn = random.withColumn("kind", F.lit("random")).unionByName(optimised.withColumn("kind", F.lit("optimised")))
     hits = drawn.distinct().join(truth, "target_id", "left_semi")
