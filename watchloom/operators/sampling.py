@@ -12,6 +12,7 @@ from watchloom.config import DEFAULTS, Settings
 from watchloom.functions.hashing import hash_bucket, uniform
 from watchloom.functions.ordering import first_by_uniform, first_within
 from watchloom.functions.scalars import one_row
+from watchloom.session import materialise
 
 # Labels of the two parts of a sample.
 TARGETED = "Targeted (High Attention Index & Severity)"
@@ -134,6 +135,7 @@ def review_samples(
             .select("replicate", F.inline(F.aggregate("draws", F.array().cast(_PICK), choose)))
             .withColumn("selection_reason", F.lit(TARGETED))
         )
+        taken = materialise(taken, "targeted")  # at most replicates x budget rows, read by each part below
     u = uniform(seed, F.lit("explore"), F.col("replicate"), F.col("detector_id"), F.col("entity_id"),
                 F.col("target_id"))
     pool = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
