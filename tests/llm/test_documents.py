@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -131,6 +132,52 @@ def test_passages_edge_rows(docs):
     assert passages.deduplicate(docs([])).count() == 0
 
 
+def test_texts_that_share_less_than_a_string_stay_whole(docs):
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = [noise(49) for _ in range(12)]
+    texts = [f"{k}{noise(30)}{k}".join(["", *shared, ""]) for k in range(3)]
+    assert {r["n_removed"] for r in passages.deduplicate(docs(texts)).collect()} == {0}
+
+
+def test_shards_sort_only_stretches_that_another_text_shares(monkeypatch):
+    rng = random.Random(5)
+    noise = lambda n: bytes(rng.choice(b"abc\0 ") for _ in range(n))
+    passage = noise(400)
+    texts = []
+    for _ in range(30):
+        k = rng.randrange(400)
+        texts.append(noise(rng.randrange(60)) + passage[:k] + noise(1) + passage[k + 1:] + noise(rng.randrange(60)))
+    rows = [
+        {"doc_id": d // 2, "digest": t, "start": max(0, p - 26), "left": min(26, p), "around": t[max(0, p - 26): p + 50]}  # two texts a document
+        for d, t in enumerate(texts) for p in passages.anchors(t)[0].tolist()]
+    sent = []
+
+    class Held:
+        def groupBy(self, _):
+            return self
+
+        def applyInArrow(self, f, _):
+            return f
+
+    real = passages.equal_starts
+    monkeypatch.setattr(passages, "equal_starts", lambda text, *more: (sent.append(len(text)), real(text, *more)))
+    found = passages.sorted_hits(Held())(pa.Table.from_pylist(rows)).to_pylist()
+    got, want = set(), set()
+    for r in found:
+        got |= {(r["doc_id"], r["digest"], k) for k in range(r["start"], r["end"])}
+    first = {}
+    for d, t in enumerate(texts):
+        for k in range(len(t) - 49):
+            first.setdefault(t[k: k + 50], d // 2)
+    for d, t in enumerate(texts):
+        for k in range(len(t) - 49):
+            if first[t[k: k + 50]] < d // 2:
+                want |= {(d // 2, t, j) for j in range(k, k + 50)}
+    assert got == want and len(want) > 1000
+    assert sum(sent) < sum(len(r["around"]) for r in rows) / 3
+
+
 def test_suffixes_by_induced_sorting_on_disk(tmp_path):
     rng = random.Random(1)
     for round_ in range(150):

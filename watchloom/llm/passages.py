@@ -11,9 +11,11 @@ document with a smaller doc_id. Three steps keep the sorted text small and exact
    for. Blocks exchange a hash of each with their smallest doc_id: where a smaller
    document has the same surroundings, all strings in them are removed. What is left
    is one owner for each of different surroundings of one anchor.
-3. Shards. Those that share an anchor share a shard, whose text is sorted by external
-   induced sorting (``suffix_array``); neighbours that share LENGTH bytes form a class,
-   and its strings are removed where a smaller doc_id is in the class.
+3. Shards. Those that share an anchor share a shard. Each is cut to the stretch around
+   its anchor that the others have some part of, stretches under LENGTH bytes go, and
+   one of equal stretches stands for all. These are sorted by external induced sorting
+   (``suffix_array``); neighbours that share LENGTH bytes form a class, and its strings
+   are removed where a smaller doc_id is in the class.
 
 Whole copies are found by their digest; only one copy per block gives anchors.
 """
@@ -236,7 +238,9 @@ def placed(rows: DataFrame, says: DataFrame, buckets: int, shards: int) -> DataF
     """
 
     def place(docs: pa.Table, told: pa.Table) -> pa.Table:
-        out: list[tuple] = []
+        names = ["doc_id", "digest", "start", "end", "shard", "left", "around"]
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        out: list[list] = [[] for _ in names]
         if docs.num_rows and told.num_rows:
             lists = [np.frombuffer(x, dtype=_ANSWER) for x in told.column("says").to_pylist()]
             keys = np.sort(np.concatenate([
@@ -254,83 +258,134 @@ def placed(rows: DataFrame, says: DataFrame, buckets: int, shards: int) -> DataF
                 flags = says_of[where]
                 smaller = ((flags & _OUTSIDE) > 0) | (least[where] < doc)
                 ends = np.minimum(at + LENGTH, len(text))
-                start = end = -1
-                for a, e in zip(low[smaller].tolist(), ends[smaller].tolist()):
-                    if a > end:
-                        if end >= 0:
-                            out.append((doc, digest, start, end, None, None))
-                        start = a
-                    end = max(end, e)
-                if end >= 0:
-                    out.append((doc, digest, start, end, None, None))
+                starts, reach = low[smaller], ends[smaller]  # both ascend
+                fresh = np.append(True, starts[1:] > reach[:-1]) if len(starts) else np.zeros(0, bool)
+                k = int(fresh.sum())
+                tails = np.append(np.flatnonzero(fresh)[1:], len(starts)) - 1 if k else np.zeros(0, np.int64)
+                _extend(out, [doc] * k, [digest] * k, starts[fresh].tolist(), reach[tails].tolist(), [None] * k, [None] * k, [None] * k)
                 mine = ~smaller & ((flags & _OTHERS) > 0)
-                for a, e, shard in zip(low[mine].tolist(), ends[mine].tolist(), (h[mine] % np.uint64(shards)).tolist()):
-                    out.append((doc, digest, a, e, shard, text[a:e]))
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-        columns = list(zip(*out)) or [()] * 6
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=["doc_id", "digest", "start", "end", "shard", "around"])
+                begin, end = low[mine].tolist(), ends[mine].tolist()
+                k = len(begin)
+                _extend(out, [doc] * k, [digest] * k, begin, end, (h[mine] % np.uint64(shards)).tolist(), (at - low)[mine].tolist(),
+                        [text[a:e] for a, e in zip(begin, end)])
+        return pa.table([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
 
     return rows.groupBy("block").cogroup(says.groupBy("block")).applyInArrow(
-        place, "doc_id long, digest binary, start long, end long, shard int, around binary")
+        place, "doc_id long, digest binary, start long, end long, shard int, left int, around binary")
+
+
+def _extend(columns: list[list], *more: list) -> None:
+    for column, values in zip(columns, more):
+        column += values
+
+
+def shared_reach(texts: list[bytes], left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes before and after the anchor, ``left`` bytes into each text, some other text has too (-1: the anchor is alone).
+
+    Neighbours in the order of what follows (or, backwards, precedes) the anchor share most. Never too few: bytes past the
+    end of a shorter neighbour count as zeros.
+    """
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    anchor = np.cumsum(sizes) - sizes + left
+    out = []
+    for side, room in ((-1, left), (1, sizes - left - PIECE)):
+        held = np.zeros((len(texts), LENGTH), dtype=np.uint8)
+        for k in range(PIECE):
+            held[:, k] = data[anchor + k]
+        for k in range(WINDOW - 1):
+            has = np.flatnonzero(room > k)
+            held[has, PIECE + k] = data[anchor[has] + (PIECE + k if side > 0 else -1 - k)]
+        order = np.argsort(held.view(f"S{LENGTH}").ravel())
+        held = held[order]
+        same = np.zeros(len(texts) + 1, dtype=np.int64)
+        same[1:-1] = np.logical_and.accumulate(held[1:] == held[:-1], axis=1).sum(axis=1)
+        most = np.empty(len(texts), dtype=np.int64)
+        most[order] = np.maximum(same[:-1], same[1:])
+        out.append(np.where(most < PIECE, -1, np.minimum(most - PIECE, room)))
+    return out[0], out[1]
 
 
 def sorted_hits(held: DataFrame, length: int = LENGTH, memory: int = MEMORY) -> DataFrame:
     """(doc_id, digest, start, end): runs of bytes whose strings a smaller document of the shard has."""
 
     def sort(group: pa.Table) -> pa.Table:
-        ids = group.column("doc_id").to_numpy()
-        texts = group.column("around").to_pylist()
-        sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-        text = np.zeros(int(sizes.sum()), dtype=np.int16)
-        joined = np.frombuffer(b"\0".join([*texts, b""]), dtype=np.uint8).astype(np.int16) + 1
-        text[:] = joined
-        firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        text[firsts + sizes - 1] = 0  # below every byte
-        row = np.repeat(np.arange(len(texts)), sizes)
-        inside = np.arange(len(text)) - firsts[row] <= sizes[row] - 1 - length  # starts with a whole string
-        owner = np.full(len(text), -1, dtype=np.int64)
-        left: list[tuple[np.ndarray, np.ndarray]] = []
-        folder = tempfile.mkdtemp(prefix="suffixes-")  # of this task alone
-
-        def close(upto: int | None) -> None:
-            """Settle all classes but the one that may go on."""
-            if not left:
-                return
-            p, c = (np.concatenate(x) for x in zip(*left))
-            done = c != upto if upto is not None else np.ones(len(c), dtype=bool)
-            left[:] = [(p[~done], c[~done])] if not done.all() else []
-            p, c = p[done], c[done]
-            if len(p):
-                starts = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
-                least = np.minimum.reduceat(ids[row[p]], starts)
-                owner[p] = np.repeat(least, np.diff(np.append(starts, len(p))))
-
-        def visit(positions: np.ndarray, classes: np.ndarray) -> None:
-            mine = inside[positions]
-            if mine.any():
-                left.append((positions[mine], classes[mine]))
-            if sum(len(p) for p, _ in left) > 200_000:
-                close(int(classes[-1]))
-
-        try:
-            equal_starts(text, length, folder, visit, memory)
-        finally:
-            shutil.rmtree(folder, ignore_errors=True)
-        close(None)
-        places = np.flatnonzero(inside & (owner >= 0) & (owner < ids[row]))
-        cut = np.append(True, (np.diff(places) > 1) | (row[places][1:] != row[places][:-1])) if len(places) else np.zeros(0, bool)
-        heads = np.flatnonzero(cut)
-        tails = np.append(heads[1:], len(places)) - 1
-        own = row[places[heads]]
-        at = group.column("start").to_numpy()[own] - firsts[own]
-        digests = group.column("digest").to_pylist()
+        docs, starts, digests = group.column("doc_id").to_numpy(), group.column("start").to_numpy(), group.column("digest").to_pylist()
+        left, around = group.column("left").to_numpy(), group.column("around").to_pylist()
+        before, after = shared_reach(around, left)
+        mine = np.flatnonzero((before >= 0) & (before + after >= length - PIECE))  # others hold no string of another text
+        low, high = (left - before)[mine], (left + PIECE + after)[mine]
+        # Equal texts are sorted once, for the smallest document that has them.
+        number: dict[bytes, int] = {}
+        kind = np.array([number.setdefault(around[k][a:e], len(number)) for k, a, e in zip(mine.tolist(), low.tolist(), high.tolist())], dtype=np.int64)
+        docs, starts, span = docs[mine], starts[mine] + low, high - low
+        texts = list(number)
+        ids = np.full(len(texts), np.iinfo(np.int64).max)
+        np.minimum.at(ids, kind, docs)
+        rows, begin, end = _runs(texts, ids, length, memory)
+        # Of a text its smallest documents lose what others have, all larger ones the whole.
+        first, count = np.searchsorted(rows, kind), np.searchsorted(rows, kind, side="right") - np.searchsorted(rows, kind)
+        whole = docs > ids[kind]
+        count[whole] = 1
+        who = np.repeat(np.arange(len(docs)), count)
+        at = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count) + first[who]
+        begin, end = (np.append(x, 0)[np.minimum(at, len(x))] for x in (begin, end))
+        begin, end = np.where(whole[who], 0, begin), np.where(whole[who], span[who], end)
         return pa.table({
-            "doc_id": pa.array(ids[own]), "digest": pa.array([digests[k] for k in own.tolist()], pa.binary()),
-            "start": pa.array(at + places[heads]), "end": pa.array(at + places[tails] + length)})
+            "doc_id": pa.array(docs[who]), "digest": pa.array([digests[k] for k in mine[who].tolist()], pa.binary()),
+            "start": pa.array(starts[who] + begin), "end": pa.array(starts[who] + end)})
 
     return held.groupBy("shard").applyInArrow(sort, "doc_id long, digest binary, start long, end long")
 
 
+def _runs(texts: list[bytes], ids: np.ndarray, length: int, memory: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of a text, start, end), ascending: runs of its bytes whose strings a text of a smaller id has."""
+    if not texts:
+        return (np.zeros(0, np.int64),) * 3
+    sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+    text = np.frombuffer(b"\0".join([*texts, b""]), dtype=np.uint8).astype(np.int16) + 1
+    firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    text[firsts + sizes - 1] = 0  # below every byte
+    row = np.repeat(np.arange(len(texts)), sizes)
+    inside = np.arange(len(text)) - firsts[row] <= sizes[row] - 1 - length  # starts with a whole string
+    owner = np.full(len(text), -1, dtype=np.int64)
+    left: list[tuple[np.ndarray, np.ndarray]] = []
+    folder = tempfile.mkdtemp(prefix="suffixes-")  # of this task alone
+
+    def close(upto: int | None) -> None:
+        """Settle all classes but the one that may go on."""
+        if not left:
+            return
+        p, c = (np.concatenate(x) for x in zip(*left))
+        done = c != upto if upto is not None else np.ones(len(c), dtype=bool)
+        left[:] = [(p[~done], c[~done])] if not done.all() else []
+        p, c = p[done], c[done]
+        if len(p):
+            starts = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
+            least = np.minimum.reduceat(ids[row[p]], starts)
+            owner[p] = np.repeat(least, np.diff(np.append(starts, len(p))))
+
+    def visit(positions: np.ndarray, classes: np.ndarray) -> None:
+        mine = inside[positions]
+        if mine.any():
+            left.append((positions[mine], classes[mine]))
+        if sum(len(p) for p, _ in left) > 200_000:
+            close(int(classes[-1]))
+
+    try:
+        equal_starts(text, length, folder, visit, memory)
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
+    close(None)
+    places = np.flatnonzero(inside & (owner >= 0) & (owner < ids[row]))
+    if not len(places):
+        return places, places, places
+    heads = np.flatnonzero(np.append(True, (np.diff(places) > 1) | (row[places][1:] != row[places][:-1])))
+    tails = np.append(heads[1:], len(places)) - 1
+    own = row[places[heads]]
+    return own, places[heads] - firsts[own], places[tails] - firsts[own] + length
+
+
 def removed_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, spans): maximal removed runs [start, end) in bytes of the texts that are no whole copies."""
     spark = docs.sparkSession
