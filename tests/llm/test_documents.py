@@ -295,6 +295,34 @@ def test_leaks_in_other_letters_and_with_other_token_counts(spark, docs):
     assert [got[k] for k in range(10)] == [[2], [2], [2], [1], [1], [1], [1], [3], [], []]
 
 
+def test_each_new_word_is_hashed_once(monkeypatch):
+    canon, seen = decontamination.Canon(), []
+    real = xxhash.xxh64_intdigest
+    monkeypatch.setattr(decontamination.xxhash, "xxh64_intdigest", lambda x: seen.append(x) or real(x))
+    words = ["".join(p) for p in itertools.product("qxzj", repeat=4)]
+    plain = canon.views(" ".join(words * 3))[1]
+    assert plain.h.tolist() == [real(w) for w in words * 3] and sorted(seen) == sorted(words)
+
+
+def test_many_texts_together_find_what_each_finds_alone(monkeypatch):
+    rng = random.Random(8)
+    heading = "The Great River Crossing Of The Northern Fleet In Winter"
+    known = decontamination.index([(1, ITEM), (2, heading), (3, "Tiny item"), (4, "12 apples 5 km Bob")])
+    tokens = f"{ITEM} {heading} Zoe 12 5 km . \n \x00 <text> Tiny item".split(" ")
+    texts = ["", "Tiny", "item", " ".join(ITEM.split()[:3]), " ".join(ITEM.split()[3:]), "He saw Bob", "Zoe bought"]
+    for _ in range(300):
+        k = rng.randrange(10)
+        whole = rng.choice([ITEM, heading, ITEM.replace("Bob", "Zoe"), "12 apples 5 km Bob"]).split()
+        texts.append(" ".join([*(rng.choice(tokens) for _ in range(rng.randrange(6))), *whole[k: k + rng.randrange(12)]]))
+    canon = decontamination.Canon()
+    alone = [any(len(p) for v, own in zip(canon.views(t), known) for _, p, _ in decontamination.matches(v, own)) for t in texts]
+    assert 20 < sum(alone) < 280
+    for size in (1, 100, 1 << 17):
+        monkeypatch.setattr(decontamination, "TOGETHER", size)
+        assert decontamination.touched(texts, known, canon).tolist() == alone
+    assert not any(decontamination.leaks(t, known, canon) for t, some in zip(texts, alone) if not some)
+
+
 def test_benchmark_in_slices(spark):
     items = spark.createDataFrame([(k, f"text {k} " * 5) for k in range(50)], "item_id long, text string")
     held = list(decontamination.slices(items, limit=300))

@@ -40,6 +40,8 @@ LITERALS = 3
 SHARE, RUN = 0.6, 13
 #: Bytes of benchmark text that one pass holds.
 SLICE_BYTES = 2_000_000
+#: Texts are looked through together up to so many characters (one text at least).
+TOGETHER = 1 << 17
 UNITS = ("mm cm m km in ft yd mi inch inches foot feet mile miles meter meters metre metres mg g kg lb lbs oz gram grams pound pounds ml l liter "
          "liters litre litres s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years mph kph km/h % "
          "percent dollar dollars cent cents euro euros $ € £ usd eur gb mb kb w kw kwh v hz degree degrees °c °f")
@@ -47,9 +49,14 @@ UNITS = ("mm cm m km in ft yd mi inch inches foot feet mile miles meter meters m
 _UNITS = frozenset(UNITS.split())
 _NUMBER = re.compile(r"[+-]?[\d.,/]*\d(?:[\d.,/:]*\d)?")
 _TRIM = "\"'“”‘’«»()[]{}<>,;:.!?…*#&|$%~_=-–—"
+_SIGNS = frozenset("+-.,/")  # a number begins with one of these or a digit
+_ENDS = frozenset(".!?:")
+_QUOTES = "\"'”’»)]*#&$%"
+_CLOSING = _ENDS | frozenset(_QUOTES)
 _PLAIN, _NUM, _UNIT, _UPPER, _END = 0, 1, 2, 4, 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LINE = "\x00"
+_BREAK = "<text> <text>"  # between texts; no token has a space
 
 
 class _Ids(dict):
@@ -70,6 +77,7 @@ class Canon:
     def __init__(self, most: int = 400_000) -> None:
         self._most = most
         self.name, self.number, self.unit = (xxhash.xxh64_intdigest(x) for x in ("<name>", "<number>", "<unit>"))
+        self._line, self._break = xxhash.xxh64_intdigest(value(_LINE)), xxhash.xxh64_intdigest(_BREAK)
         self._clear()
 
     def _clear(self) -> None:
@@ -77,38 +85,59 @@ class Canon:
         self._flags, self._size = np.zeros(1 << 12, np.uint8), 0
         self._ids = _Ids(self)
         self._ids[_LINE]  # number 0
+        self._ids[_BREAK]  # number 1
 
     def add(self, raw: str) -> int:
         at = self._size
         if at == len(self._hashes):
             self._hashes, self._plain, self._flags = (np.concatenate([x, np.zeros_like(x)]) for x in (self._hashes, self._plain, self._flags))
-        self._hashes[at], self._flags[at] = self._classify(raw)
-        self._plain[at] = xxhash.xxh64_intdigest(value(raw))
+        self._hashes[at], self._plain[at], self._flags[at] = self._classify(raw)
         self._size += 1
         return at
 
-    def _classify(self, raw: str) -> tuple[int, int]:
+    def _classify(self, raw: str) -> tuple[int, int, int]:
+        """Hash as a template, hash as it stands, flags. Most tokens are plain words: these are hashed once and meet no pattern."""
         if raw == _LINE:
-            return 0, _END
-        end = _END if raw.rstrip("\"'”’»)]*#&$%")[-1:] in (".", "!", "?", ":") else 0
-        if raw.lower() in _UNITS:
-            return self.unit, _UNIT | end
+            return 0, self._line, _END
+        if raw == _BREAK:
+            return self._break, self._break, _END
         bare = raw.strip(_TRIM)
         low = bare.lower()
-        if low in _UNITS:
-            return self.unit, _UNIT | end
-        if _NUMBER.fullmatch(bare):
-            return self.number, _NUM | end
-        if (found := _NUMBER.match(bare)) and bare[found.end():].lower() in _UNITS:  # 5km
-            return self.number ^ self.unit, _NUM | end
-        return xxhash.xxh64_intdigest(low), (_UPPER if bare[:1].isupper() else 0) | end
+        own = xxhash.xxh64_intdigest(low)
+        end = _END if raw[-1] in _CLOSING and raw.rstrip(_QUOTES)[-1:] in _ENDS else _PLAIN
+        if low in _UNITS or (len(raw) > len(bare) and raw.lower() in _UNITS):
+            return self.unit, own, _UNIT | end
+        head = bare[:1]
+        if head.isdecimal() or head in _SIGNS:
+            if _NUMBER.fullmatch(bare):
+                return self.number, own, _NUM | end
+            if (found := _NUMBER.match(bare)) and bare[found.end():].lower() in _UNITS:  # 5km
+                return self.number ^ self.unit, own, _NUM | end
+        return own, own, (_UPPER if head.isupper() else _PLAIN) | end
 
     def views(self, text: str) -> list[View]:
         """The text as templates, as it stands but for case, and with runs of slots as one."""
+        self._tidy()
+        raw, ids = self._read(text)
+        return self._views(ids, raw)
+
+    def together(self, texts: list[str]) -> tuple[list[View], np.ndarray]:
+        """The views of many texts as one with breaks between them, and the number of the text that each token is of."""
+        self._tidy()
+        apart = np.ones(1, dtype=np.int64)  # _BREAK
+        ids = np.concatenate([x for text in texts for x in (self._read(text)[1], apart)])
+        ends = ids[ids > 0] == 1
+        return self._views(ids, []), np.cumsum(ends) - ends
+
+    def _tidy(self) -> None:
         if self._size > self._most:
             self._clear()
+
+    def _read(self, text: str) -> tuple[list[str], np.ndarray]:
         raw = text.replace("\n", f" {_LINE} ").split()
-        ids = np.fromiter(map(self._ids.__getitem__, raw), dtype=np.int64, count=len(raw))
+        return raw, np.fromiter(map(self._ids.__getitem__, raw), dtype=np.int64, count=len(raw))
+
+    def _views(self, ids: np.ndarray, raw: list[str]) -> list[View]:
         h, plain, flags = self._hashes[ids], self._plain[ids], self._flags[ids]
         starts = np.ones(len(ids), dtype=bool)
         starts[1:] = (flags[:-1] & _END) > 0
@@ -150,9 +179,11 @@ def windows(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of every window of ``n`` templates."""
     if len(h) < n:
         return np.zeros(0, np.uint64)
-    out = np.zeros(len(h) - n + 1, dtype=np.uint64)
-    for k in range(n):
-        out = out * _MIX + (h[k: k + len(out)] ^ (h[k: k + len(out)] >> np.uint64(31)))
+    mixed = h ^ (h >> np.uint64(31))
+    out = mixed[: len(h) - n + 1].copy()
+    for k in range(1, n):
+        out *= _MIX
+        out += mixed[k: k + len(out)]
     return out ^ (out >> np.uint64(33))
 
 
@@ -225,19 +256,42 @@ class Cover:
         return int(covered.sum()), int((padded[1::2] - padded[::2]).max()) if len(padded) else 0
 
 
+def matches(doc: View, own: Index) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each window length: (length, places of ``doc`` where a window of an item begins, hashes of these)."""
+    for size, keys in own.keys.items():
+        found = windows(doc.h, size)
+        if len(found) and len(keys):
+            maybe = np.flatnonzero(own.maybe[size][(found >> np.uint64(44)).astype(np.int64)])
+            found = found[maybe]
+            same = keys[np.minimum(np.searchsorted(keys, found), len(keys) - 1)] == found
+            yield size, maybe[same], found[same]
+
+
+def touched(texts: list[str], known: list[Index], canon: Canon) -> np.ndarray:
+    """Whether each text has a window of some item; no other one leaks anything."""
+    out = np.zeros(len(texts), dtype=bool)
+    start = 0
+    while start < len(texts):
+        end, size = start, 0
+        while end < len(texts) and (size < TOGETHER or end == start):
+            size += len(texts[end])
+            end += 1
+        views, of = canon.together(texts[start:end])
+        for view, own in zip(views, known):
+            for _, places, _ in matches(view, own):
+                out[start + of[view.at[places]]] = True
+        start = end
+    return out
+
+
 def leaks(text: str, known: list[Index], canon: Canon, share: float = SHARE, run: int = RUN) -> list[tuple[int, int, int]]:
     """(item, tokens covered, tokens of the item) of every item that ``text`` leaks."""
     best: dict[int, tuple[int, int]] = {}
     for doc, own in zip(canon.views(text), known):
         lines: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
-        for size, keys in own.keys.items():
-            found = windows(doc.h, size)
-            if not len(found) or not len(keys):
-                continue
-            maybe = np.flatnonzero(own.maybe[size][(found >> np.uint64(44)).astype(np.int64)])
-            place = np.minimum(np.searchsorted(keys, found[maybe]), len(keys) - 1)
-            for p in maybe[keys[place] == found[maybe]].tolist():
-                for item, q in own.at[size][int(found[p])]:
+        for size, places, found in matches(doc, own):
+            for p, key in zip(places.tolist(), found.tolist()):
+                for item, q in own.at[size][key]:
                     lines.setdefault(item, {}).setdefault(p - q, []).append((p, q, size))
         for item, by in lines.items():
             view = own.items[item]
@@ -304,9 +358,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Data
             for batch in batches:
                 for at in range(0, batch.num_rows, 512):
                     part = batch.slice(at, 512)
+                    texts = [text or "" for text in part.column("text").to_pylist()]
                     found = [
-                        before + [{"item_id": i, "covered": c, "tokens": t} for i, c, t in leaks(text or "", known, canon)]
-                        for text, before in zip(part.column("text").to_pylist(), part.column("leaked").to_pylist())]
+                        before + [{"item_id": i, "covered": c, "tokens": t} for i, c, t in (leaks(text, known, canon) if some else ())]
+                        for text, before, some in zip(texts, part.column("leaked").to_pylist(), touched(texts, known, canon))]
                     yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, arrow)], part.schema.names)
 
         out = out.mapInArrow(run, out.schema)
