@@ -1,3 +1,4 @@
+import collections
 import math
 import random
 from statistics import median, stdev
@@ -174,6 +175,17 @@ def test_no_budget_numbers_a_whole_replicate_in_one_task(spark, budget):
         assert numbered and not [line for line in numbered if "windowspecdefinition(replicate" in line and "_slice" not in line]
 
 
+def test_replicates_of_the_pool_are_not_sent_to_the_driver(spark):
+    """Exploded rows look small to the planner; what is broadcast is slices, the rows stay where they are."""
+    rows = spark.range(3000).select(F.explode(F.sequence(F.lit(0), F.lit(49))).alias("g"), F.col("id").cast("string").alias("t"), F.rand(7).alias("u"))
+    first = first_by_uniform(rows, ["g"], "u", ["t"], 10, "place")
+    got = collections.Counter(r["g"] for r in first.collect())
+    assert got == dict.fromkeys(range(50), 10)
+    plan = first._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("BroadcastHashJoin" in line and "BuildRight" in line for line in joins)
+
+
 @pytest.mark.parametrize("k", [1, 2, 5, 20, 80])
 def test_review_sample_follows_the_sequential_rule(spark, k):
     f, ranking, rows = _sample_inputs(spark)

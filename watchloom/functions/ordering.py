@@ -46,7 +46,9 @@ def first_by_uniform(df: DataFrame, keys: Sequence[str], u: str, order: Sequence
     Rows are counted by slice of ``u`` first, and only the slices that start before the
     ``n``-th row are read: at most ``n`` of a group's 4096. Rows are numbered inside a
     slice, so however large ``n`` or a group is, neither is sorted in one task. Rows
-    with a null key or ``u`` are left out.
+    with a null key or ``u`` are left out. The slices are sent to the rows, never the rows
+    to the slices: groups are replicates or the like, known to be few, whereas rows that were
+    just exploded over them look as small to the planner as they were before.
     """
     keys = list(keys)
     sliced = df.withColumn("_slice", F.floor(F.col(u) * F.lit(SLICES)).cast("int"))
@@ -58,7 +60,7 @@ def first_by_uniform(df: DataFrame, keys: Sequence[str], u: str, order: Sequence
     )
     inside = Window.partitionBy(*keys, "_slice").orderBy(u, *order)
     return (
-        sliced.join(needed, [*keys, "_slice"])
+        sliced.join(F.broadcast(needed), [*keys, "_slice"])  # at most min(n, SLICES) rows a group
         .withColumn(out, F.row_number().over(inside) + F.col("_offset")).filter(F.col(out) <= n)
         .drop("_slice", "_offset")
     )

@@ -55,7 +55,7 @@ def weighted_draws(ranking: DataFrame, n, seed: int = 42, replicates: int = 1, m
     """
     limit = n if isinstance(n, Column) else F.lit(n)
     most = max_n if max_n is not None else n
-    intervals = weight_intervals(ranking)
+    intervals = materialise(weight_intervals(ranking), "intervals")  # read twice below; a ranking is a long plan
     ranges = intervals.groupBy("bucket").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     spans = one_row(ranges.agg(
         F.max("hi").alias("total"), F.collect_list(F.struct("bucket", "lo", "hi")).alias("spans")
@@ -108,7 +108,7 @@ def review_samples(
     if most_targeted == 0:
         taken = None
     else:
-        draws = weighted_draws(ranking, n_targeted, seed, replicates, max_n=most_targeted)
+        draws = materialise(weighted_draws(ranking, n_targeted, seed, replicates, max_n=most_targeted), "draws")
         worst = [F.col("severity").desc_nulls_last(), F.col("detector_id"), F.col("target_id")]
         per_target = Window.partitionBy("entity_id", "target_id").orderBy(*worst)
         drawn = (
@@ -180,7 +180,8 @@ def lift_over_random(
     random = first_by_uniform(pool, ["replicate"], "u", _FINDING, budget_k).select("replicate", "target_id")
     optimised = review_samples(rows, ranking, budget_k, seed, iterations, cfg, budget).select("replicate", "target_id")
     drawn = random.withColumn("kind", F.lit("random")).unionByName(optimised.withColumn("kind", F.lit("optimised")))
-    hits = drawn.distinct().join(truth, "target_id", "left_semi")
+    drawn = materialise(drawn.distinct(), "drawn")  # at most 2 x iterations x budget rows; else each part meets the truth by itself
+    hits = drawn.join(truth, "target_id", "left_semi")
     means = hits.agg(
         (F.count(F.when(F.col("kind") == "random", 1)) / F.lit(float(iterations))).alias("random"),
         (F.count(F.when(F.col("kind") == "optimised", 1)) / F.lit(float(iterations))).alias("optimised"),

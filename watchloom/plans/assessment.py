@@ -15,12 +15,13 @@ from watchloom.sources.tables import SocTables
 
 
 def assess(t: SocTables, cfg: Settings = DEFAULTS, detectors=None, path: str | None = None,
-           concurrent: int = 8) -> DataFrame:
+           concurrent: int = 4) -> DataFrame:
     """Findings of all (or the named) detectors, written to ``path`` and read back.
 
     Each detector is a job of its own: jobs share the cluster, adaptive execution
     re-plans a small plan instead of one union of twenty, and a lost executor costs a
-    retry of its tasks only. The first failing detector fails the assessment.
+    retry of its tasks only. The first failing detector fails the assessment. The driver
+    plans ``concurrent`` detectors at a time, which is what its memory goes into.
     """
     spark = t.alerts.sparkSession
     path = path or scratch_path(spark, "findings")
