@@ -261,3 +261,21 @@ def test_stages_keep_rows_and_columns_of_any_name(spark, sf_dir):
     packed = stage["best_fit_packing"](spark, docs, sf_dir)
     encode = packing.Encoder(packing.tokenizer_path())
     assert packed.agg(F.sum("length")).first()[0] == sum(len(encode(t or "")) + 1 for _, t in texts)
+
+
+def test_query_blocks_of_all_lanes_are_not_sent_to_the_driver(spark):
+    """Exploded rows look small to the planner; query blocks go to their lanes by a shuffle."""
+    rng = random.Random(5)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(300)]
+    vectors = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3))
+    candidates, queries = topk._blocks(vectors, 64), topk._blocks(vectors.filter("vec_id % 10 = 0"), 8)
+    met = topk._met(queries, candidates, 50)
+    pairs = met.count()
+    assert pairs == queries.count() * candidates.count()
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("values", [[0, 127, -128], [128], [-129], [32767, -32768], [40000], [-(1 << 31)], [1 << 31], [-(1 << 40), 7], []])
+def test_packed_components_keep_their_values(values):
+    packed = topk._packed(np.array(values, dtype="<i8"))
+    assert topk._unpacked(packed, 1, len(values))[0].tolist() == values

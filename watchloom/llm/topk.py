@@ -39,7 +39,7 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """(dim, block, rows, ids, matrix): up to ``size`` vectors of one length as one row."""
+    """(dim, block, rows, ids, matrix): up to ``size`` vectors of one length as one row, in the fewest bytes a component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -52,25 +52,38 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([
                         pa.array([dim], pa.int32()), pa.array([int(row[0])], pa.int64()), pa.array([row.astype("<i8").tobytes()], pa.binary()),
                         pa.array([part.column("vec_id").to_numpy(zero_copy_only=False).astype("<i8").tobytes()], pa.binary()),
-                        pa.array([np.asarray(part.column("parts").flatten()).astype("<i8").tobytes()], pa.binary())],
+                        pa.array([_packed(np.asarray(part.column("parts").flatten()).astype("<i8"))], pa.binary())],
                         ["dim", "block", "rows", "ids", "matrix"])
 
     return rows.mapInArrow(run, "dim int, block long, rows binary, ids binary, matrix binary")
 
 
+def _packed(values: np.ndarray) -> bytes:
+    low, high = int(values.min(initial=0)), int(values.max(initial=0))
+    return next(values.astype(f"<i{n}") for n in (1, 2, 4, 8) if -(1 << 8 * n - 1) <= low and high < 1 << 8 * n - 1).tobytes()
+
+
+def _unpacked(matrix: bytes, rows: int, dim: int) -> np.ndarray:
+    return np.frombuffer(matrix, dtype=f"<i{len(matrix) // (rows * dim) if dim else 8}").reshape(rows, dim).astype(np.int64)
+
+
 def _scores(q: bytes, c: bytes, q_rows: int, c_rows: int, dim: int) -> np.ndarray:
-    a, b = (np.frombuffer(x, dtype="<i8").reshape(n, dim) for x, n in ((q, q_rows), (c, c_rows)))
+    a, b = _unpacked(q, q_rows, dim), _unpacked(c, c_rows, dim)
     if dim and float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * dim >= 2.0**53:
         return a @ b.T
     return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)  # exact below 2**53
 
 
 def _met(queries: DataFrame, candidates: DataFrame, lanes: int) -> DataFrame:
-    """Query blocks beside candidate blocks: each candidate block lies in one lane, query blocks go to all."""
+    """Query blocks beside candidate blocks: each candidate block lies in one lane, query blocks go to all.
+
+    The planner takes exploded rows to be as small as they were before, so without the hint
+    it may send the query blocks, once for every lane, to the driver.
+    """
     left = queries.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     right = candidates.select(
         "dim", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int").alias("lane"), F.col("rows").alias("c_rows"), F.col("ids").alias("c_ids"), F.col("matrix").alias("c_matrix"))
-    return left.join(right, ["dim", "lane"])
+    return left.hint("merge").join(right, ["dim", "lane"])
 
 
 def _each(batch: pa.RecordBatch) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
@@ -99,8 +112,8 @@ def search(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE) -> Data
     bound = int(rows.agg(F.max(norms)).first()[0] or 0) + 1  # no inner product is larger
     if bound >= 1 << 62:
         raise ValueError(f"components of up to {math.isqrt(bound):.3g} after scaling have inner products beyond 64 bits")
-    lanes = parts(spark) * 2
     candidates = materialise(_blocks(rows.select("row", "vec_id", "dim", "parts"), CANDIDATE_ROWS), "topk-candidates")
+    lanes = max(1, min(parts(spark) * 2, candidates.count()))  # more would be copies of the queries that meet nothing
     queries = materialise(_blocks(rows.filter(is_query).select("row", "vec_id", "dim", "parts"), QUERY_ROWS), "topk-queries")
 
     def first_state(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
