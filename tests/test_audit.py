@@ -115,6 +115,20 @@ def test_chains_are_one_sequence_per_key(spark, events, size):
     assert [r["data"] for r in got][1:1201] == [f"d{i} é" for i in range(1200)]
 
 
+def test_long_chains_take_few_rounds(spark, events):
+    """240 slices of 5 blocks are 5 rounds, since each has more blocks than the one before."""
+    blocks = audit.build_chains(events, "key", ["ts", "id"], F.to_date("ts"), slice_size=5)
+    assert len({f.rsplit("/", 2)[-2] for f in blocks.inputFiles()}) == 5
+    assert [tuple(r) for r in audit.verify_chain(blocks.withColumn("computed", audit.block_hash()), ["key"]).orderBy("key").collect()] == [
+        ("u", 1200, True, None, 0, None), ("v", 1, True, None, 0, None)]
+
+
+def test_rounds_stop_growing():
+    starts, size = audit._rounds(2000)
+    assert size == audit.MOST and starts[:4] == [0, 2000, 10_000, 42_000]
+    assert audit._rounds(audit.MOST * 2) == ([0], audit.MOST * 2)
+
+
 def test_chains_of_no_events(spark, events):
     assert audit.build_chains(events.limit(0), "key", ["ts", "id"], F.to_date("ts")).collect() == []
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from json.encoder import encode_basestring_ascii
 
 import pandas as pd
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from watchloom.functions.ordering import position_within
 from watchloom.schemas import BLOCK
-from watchloom.session import scratch_path
+from watchloom.session import materialise, scratch_path
 
 # Fixed value: prev_hash of the first block of a chain.
 GENESIS_PREV = "0" * 64
@@ -125,41 +126,59 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-#: Blocks of a chain that one task links.
+#: Blocks of a chain that are linked in its first round; a round has ``GROWTH`` times those of the one before.
 SLICE = 65_536
+GROWTH = 4
+#: Rounds grow up to this, which bounds what a task sorts.
+MOST = 1 << 22
+
+
+def _rounds(slice_size: int) -> tuple[list[int], int]:
+    """First indexes of the growing rounds, and how many blocks each round has from the last of them on."""
+    starts, size = [0], slice_size
+    while size < MOST:
+        starts.append(starts[-1] + size)
+        size = min(size * GROWTH, MOST)
+    return starts, size
 
 
 def build_chains(events: DataFrame, key: str, order: list[str], slot: Column, slice_size: int = SLICE) -> DataFrame:
     """(key, index, timestamp, event_type, data, prev_hash, hash): one unbroken chain of blocks per key, for events in ``order``.
 
     A block's hash needs the one before, so a chain is linked in order; what can be in
-    parallel is chains. Events get their index in parallel, then slices of ``slice_size``
-    blocks are linked round by round: round r links slice r of every chain that is so long,
-    a task streams its blocks with one hash in memory, and the last hash of each slice is
-    handed to the next round. A chain with a third of all events therefore takes more rounds,
-    not more memory or disk of one task. Each round is written, so a lost executor costs
-    its tasks of the current round. ``slot`` is a column that does not decrease along ``order``.
-    Events without a key belong to no chain.
+    parallel is chains. Events get their index in parallel, then chains are linked round by
+    round: a round takes the next blocks of every chain that is so long, a task streams its
+    blocks with one hash in memory, and the last hash of each chain is handed to the next
+    round. The first round has ``slice_size`` blocks of a chain, each later one ``GROWTH`` times
+    as many up to ``MOST``, so even long chains take few rounds, and beyond that a chain
+    takes more rounds, not more memory or disk of one task. Each round is written, so a lost
+    executor costs its tasks of the current round. ``slot`` is a column that does not decrease
+    along ``order``. Events without a key belong to no chain.
     """
     spark = events.sparkSession
     placed = position_within(events.filter(F.col(key).isNotNull()), [key], slot, [F.col(c) for c in order], "position").select(
         key, (F.col("position") - 1).cast("long").alias("index"), "timestamp", "event_type", "data")
     entries, linked = scratch_path(spark, "chain-entries"), scratch_path(spark, "chains")
-    placed.withColumn("slice", F.floor(F.col("index") / slice_size).cast("long")).write.partitionBy("slice").parquet(entries)
-    entry = T.StructType([*placed.schema.fields, T.StructField("slice", T.LongType())])
+    starts, size = _rounds(slice_size)
+    index = F.col("index")
+    step = sum(((index >= at).cast("long") for at in starts[1:]), F.floor(F.greatest(index - starts[-1], F.lit(0)) / size))
+    placed.withColumn("round", step.cast("long")).write.partitionBy("round").parquet(entries)
+    entry = T.StructType([*placed.schema.fields, T.StructField("round", T.LongType())])
     block = T.StructType([*placed.schema.fields, T.StructField("prev_hash", T.StringType()), T.StructField("hash", T.StringType())])
     rows = spark.read.schema(entry).parquet(entries)
-    last = rows.agg(F.max("slice")).first()[0]
+    last = rows.agg(F.max("round")).first()[0]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for step in range(0 if last is None else last + 1):
-        mine = rows.filter(F.col("slice") == step).drop("slice").withColumn("hash", F.lit(None).cast("string"))
+        mine = rows.filter(F.col("round") == step).drop("round").withColumn("hash", F.lit(None).cast("string"))
         if step:
-            before = spark.read.schema(block).parquet(f"{linked}/slice={step - 1}")
-            mine = mine.unionByName(before.filter(F.col("index") == step * slice_size - 1).drop("prev_hash"))
-        ordered = mine.repartition(key).sortWithinPartitions(key, "index")
-        ordered.mapInArrow(_linker(key, block), block).write.parquet(f"{linked}/slice={step}")
+            first = starts[step] if step < len(starts) else starts[-1] + (step - len(starts) + 1) * size
+            before = spark.read.schema(block).parquet(f"{linked}/round={step - 1}")
+            mine = mine.unionByName(before.filter(F.col("index") == first - 1).drop("prev_hash"))
+        ordered = mine.repartitionByRange(tasks, key).sortWithinPartitions(key, "index")  # by range: long chains get tasks of their own
+        ordered.mapInArrow(_linker(key, block), block).write.parquet(f"{linked}/round={step}")
     if last is None:
         return spark.createDataFrame([], block)
-    return spark.read.schema(T.StructType([*block.fields, T.StructField("slice", T.LongType())])).parquet(linked).drop("slice")
+    return spark.read.schema(T.StructType([*block.fields, T.StructField("round", T.LongType())])).parquet(linked).drop("round")
 
 
 def _linker(key: str, block: T.StructType):
@@ -167,7 +186,11 @@ def _linker(key: str, block: T.StructType):
     names = block.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chain, prev = object(), GENESIS_PREV
+        chain, prev, sha256 = object(), GENESIS_PREV, hashlib.sha256
+
+        def text(value) -> str:
+            return encode_basestring_ascii(value) if isinstance(value, str) else json.dumps(value)
+
         for batch in batches:
             keep, prevs, hashes = [], [], []
             columns = (batch.column(c).to_pylist() for c in (key, "index", "timestamp", "event_type", "data", "hash"))
@@ -177,10 +200,11 @@ def _linker(key: str, block: T.StructType):
                 if known is not None:
                     prev = known
                     continue
-                body = {"data": data, "event_type": event_type, "index": index, "prev_hash": prev, "timestamp": timestamp}
+                body = (f'{{"data": {text(data)}, "event_type": {text(event_type)}, "index": {index}, '
+                        f'"prev_hash": "{prev}", "timestamp": {text(timestamp)}}}')  # as json.dumps writes it
                 keep.append(row)
                 prevs.append(prev)
-                prev = hashlib.sha256(json.dumps(body).encode()).hexdigest()
+                prev = sha256(body.encode()).hexdigest()
                 hashes.append(prev)
             taken = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
@@ -201,17 +225,16 @@ def seal(blocks: DataFrame, keys: list[str], fan_out: int = FAN_OUT) -> DataFram
     ``fan_out``-th of the one below, so no task holds more than a node.
     """
     rows = blocks.select(*keys, F.col("index").alias("node"), F.col("hash").alias("digest"), F.lit(1).cast("long").alias("blocks"))
-    longest = blocks.agg(F.max("index")).first()[0]
-    out, level = None, 0
-    while out is None or longest:
+    out, level, longest = None, 0, 1
+    while longest:
         level += 1
         child = F.struct("node", "digest")
-        rows = rows.groupBy(*keys, F.floor(F.col("node") / fan_out).cast("long").alias("node")).agg(
+        rows = materialise(rows.groupBy(*keys, F.floor(F.col("node") / fan_out).cast("long").alias("node")).agg(
             F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(child)), lambda c: c["digest"]), ""), 256).alias("digest"),
-            F.sum("blocks").alias("blocks"))
+            F.sum("blocks").alias("blocks")), "seal")  # whoever compares a seal reads it several times, the blocks once
         part = rows.select(*keys, F.lit(level).alias("level"), "node", "digest", "blocks")
         out = part if out is None else out.unionByName(part)
-        longest = (longest or 0) // fan_out
+        longest = rows.agg(F.max("node")).first()[0]
     return out
 
 
@@ -223,7 +246,7 @@ def against_seal(blocks: DataFrame, sealed: DataFrame, keys: list[str], fan_out:
     such node at either end. A chain that was linked anew after a stretch was taken out
     verifies by itself and is found here.
     """
-    sizes = sealed.filter("level = 1").groupBy(*keys).agg(F.sum("blocks").alias("sealed_blocks"))
+    sizes = materialise(sealed.filter("level = 1").groupBy(*keys).agg(F.sum("blocks").alias("sealed_blocks")), "sealed-sizes")
     mine = blocks.join(sizes, keys).filter("index < sealed_blocks")
     now = seal(mine.select(*keys, "index", "hash"), keys, fan_out)
 
