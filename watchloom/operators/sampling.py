@@ -178,10 +178,10 @@ def lift_over_random(
                 F.col("target_id"))
     pool = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("replicate")).withColumn("u", u)
     random = first_by_uniform(pool, ["replicate"], "u", _FINDING, budget_k).select("replicate", "target_id")
+    random = materialise(random, "random")  # at most iterations x budget rows
     optimised = review_samples(rows, ranking, budget_k, seed, iterations, cfg, budget).select("replicate", "target_id")
     drawn = random.withColumn("kind", F.lit("random")).unionByName(optimised.withColumn("kind", F.lit("optimised")))
-    drawn = materialise(drawn.distinct(), "drawn")  # at most 2 x iterations x budget rows; else each part meets the truth by itself
-    hits = drawn.join(truth, "target_id", "left_semi")
+    hits = drawn.distinct().join(truth, "target_id", "left_semi")
     means = hits.agg(
         (F.count(F.when(F.col("kind") == "random", 1)) / F.lit(float(iterations))).alias("random"),
         (F.count(F.when(F.col("kind") == "optimised", 1)) / F.lit(float(iterations))).alias("optimised"),

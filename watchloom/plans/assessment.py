@@ -15,7 +15,7 @@ from watchloom.sources.tables import SocTables
 
 
 def assess(t: SocTables, cfg: Settings = DEFAULTS, detectors=None, path: str | None = None,
-           concurrent: int = 4) -> DataFrame:
+           concurrent: int = 2) -> DataFrame:
     """Findings of all (or the named) detectors, written to ``path`` and read back.
 
     Each detector is a job of its own: jobs share the cluster, adaptive execution
